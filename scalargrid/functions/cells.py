@@ -34,7 +34,14 @@ def is_missing(cell: Column) -> Column:
 def to_number(cell: Column) -> Column:
     """DOUBLE value of a text cell; NULL (never NaN) when it is not a number."""
     text = strip(cell)
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    # Text that starts and ends like a number and has no "x" needs no regex: the
+    # cast alone decides. Codes 43-57 are + , - . / and the digits, 46-57 . / and the digits.
+    plain = (
+        F.ascii(text).between(43, 57)
+        & F.ascii(F.right(text, F.lit(1))).between(46, 57)
+        & ~F.contains(F.lower(text), F.lit("x"))
+    )
+    return F.when(plain | text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def null_if_nan(value: Column) -> Column:

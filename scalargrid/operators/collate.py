@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from scalargrid.functions.flags import NO_MODEL_DATA, assumption_flag
 from scalargrid.operators.inventory import SESSION_KEYS
 from scalargrid.operators.records import ORDER_COLUMNS
-from scalargrid.runtime import AXIS_LIMIT, small_values
+from scalargrid.runtime import AXIS_LIMIT, small_pairs, small_values
 
 LONG_KEYS = ("subject", "session", "bundle", "scalar")
 BUNDLE_KEYS = ("subject", "session", "bundle")
@@ -49,9 +49,7 @@ def expand_axis(
     """
     values = small_values(axis, column, limit)
     if values is not None:
-        literal = F.lit(values) if values else F.array()
-        kind = axis.schema[column].dataType
-        return df.withColumn(column, F.explode(literal.cast(f"array<{kind.simpleString()}>")))
+        return _explode_values(df, column, values)
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = axis.select(column).where(F.col(column).isNotNull()).distinct().withColumn(
         "_slice", F.pmod(F.xxhash64(column), F.lit(parts)).cast("int")
@@ -60,6 +58,11 @@ def expand_axis(
     return repeated.join(dealt, "_slice").drop("_slice")
 
 
+def _explode_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
+    literal = F.lit(list(values)) if values else F.array().cast("array<string>")
+    return df.withColumn(column, F.explode(literal))
+
+
 def session_grid(subjects: DataFrame, sessions: DataFrame, limit: int = AXIS_LIMIT) -> DataFrame:
     """Every subject with every session label of the cohort."""
     subjects = subjects.select("subject").where(F.col("subject").isNotNull()).distinct()
@@ -89,8 +92,12 @@ def complete_grid(
     """
     found = records if closed else _in_cohort(records, subjects, sessions)
     grid = session_grid(subjects, sessions, limit)
-    for column in ("bundle", "scalar"):
-        grid = expand_axis(grid, records, column, limit)
+    axes = small_pairs(records, "bundle", "scalar", limit)
+    for i, column in enumerate(("bundle", "scalar")):
+        grid = (
+            _explode_values(grid, column, axes[i]) if axes
+            else expand_axis(grid, records, column, limit)
+        )
     gaps = grid.join(found.select(*LONG_KEYS).distinct(), list(LONG_KEYS), "left_anti")
     return (
         found.withColumn("scalar_present", F.lit(True))

@@ -30,13 +30,16 @@ def extract_entities(
     df: DataFrame, column: str, pattern: str, names: Sequence[str]
 ) -> DataFrame:
     """Add one column per regex group of ``pattern``; NULL where a group is empty."""
-    return df.select(
-        "*",
-        *[
-            F.nullif(F.regexp_extract(column, pattern, i), F.lit("")).alias(name)
-            for i, name in enumerate(names, start=1)
-        ],
-    )
+    groups = [
+        F.nullif(F.regexp_extract(column, pattern, i), F.lit("")).alias(name)
+        for i, name in enumerate(names, start=1)
+    ]
+    return _computed_once(df, groups)
+
+
+def _computed_once(df: DataFrame, columns: Sequence[Column]) -> DataFrame:
+    """Add columns through a generator, which no later filter or projection repeats."""
+    return df.select("*", F.inline(F.array(F.struct(*columns))))
 
 
 def with_entities(files: DataFrame) -> DataFrame:
@@ -45,18 +48,17 @@ def with_entities(files: DataFrame) -> DataFrame:
     ``session`` is NULL without a session folder. ``in_dwi`` tells whether the
     file lies directly in the ``dwi`` folder of its subject or session.
     """
-    located = extract_entities(
-        files, "path", r"(?:^|.*/)(sub-[^/]+)/(?:(ses-[^/]+)/)?(dwi/[^/]+$)?",
-        ["subject", "session", "_dwi"],
-    )
-    suffix = F.regexp_extract("path", rf"(?:^|.*/){RECON_FOLDER_PREFIX}([^/]+)/", 1)
-    return located.select(
-        *files.columns,
-        F.coalesce(F.nullif(suffix, F.lit("")), F.lit("unknown")).alias("recon_suffix"),
-        "subject",
-        "session",
-        F.substring_index("path", "/", -1).alias("file_name"),
-        F.col("_dwi").isNotNull().alias("in_dwi"),
+    place = r"^(?:.*/)?(sub-[^/]+)/(?:(ses-[^/]+)/)?(dwi/[^/]+$)?"
+    suffix = F.regexp_extract("path", rf"^(?:.*/)?{RECON_FOLDER_PREFIX}([^/]+)/", 1)
+    return _computed_once(
+        files,
+        [
+            F.coalesce(F.nullif(suffix, F.lit("")), F.lit("unknown")).alias("recon_suffix"),
+            F.nullif(F.regexp_extract("path", place, 1), F.lit("")).alias("subject"),
+            F.nullif(F.regexp_extract("path", place, 2), F.lit("")).alias("session"),
+            F.substring_index("path", "/", -1).alias("file_name"),
+            (F.regexp_extract("path", place, 3) != "").alias("in_dwi"),
+        ],
     )
 
 
@@ -107,20 +109,22 @@ def classify_files(
     files: DataFrame, bundle_patterns: Sequence[FilePattern] = BUNDLE_PATTERNS
 ) -> DataFrame:
     """Add ``category, source_type, priority`` by file name; other files are dropped."""
-    kind: Column = F.lit(None)
-    for p in reversed((*bundle_patterns, *SIDECAR_PATTERNS, *QC_PATTERNS)):
-        kind = F.when(
-            F.col("file_name").rlike(p.name_regex),
-            F.struct(
-                F.lit(p.category).alias("category"),
-                F.lit(p.source_type).alias("source_type"),
-                F.lit(p.priority).alias("priority"),
-            ),
-        ).otherwise(kind)
+    patterns = (*bundle_patterns, *SIDECAR_PATTERNS, *QC_PATTERNS)
+    name = F.col("file_name")
+    number = F.lit(None).cast("int")
+    for i, p in reversed(list(enumerate(patterns))):
+        hit = F.endswith(name, F.lit(p.name_end))
+        number = F.when(hit & name.rlike(p.name_regex) if p.name_regex else hit, i).otherwise(number)
+    kinds = F.lit([p.category for p in patterns]), F.lit([p.source_type for p in patterns])
     return (
-        files.withColumn("_kind", kind)
+        _computed_once(files, [number.alias("_kind")])
         .where(F.col("_kind").isNotNull())
-        .select(*files.columns, "_kind.category", "_kind.source_type", "_kind.priority")
+        .select(
+            *files.columns,
+            F.get(kinds[0], "_kind").alias("category"),
+            F.get(kinds[1], "_kind").alias("source_type"),
+            F.get(F.lit([p.priority for p in patterns]), "_kind").alias("priority"),
+        )
     )
 
 

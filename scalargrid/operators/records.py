@@ -120,14 +120,20 @@ def along_tract_records(rows: DataFrame, scalar_name: str | None = None) -> Data
     nodes = (
         _usable(rows)
         .select(*FILE_COLUMNS, "values", F.posexplode("header").alias("column", "scalar_raw"))
-        .where(~F.col("scalar_raw").rlike(NUMERIC_NAME) & ~F.col("scalar_raw").rlike(BLANK_NAME))
         .withColumn("_node", to_number(F.get("values", "column")))
         .where(F.col("_node").isNotNull())
     )
-    collapsed = nodes.groupBy(*FILE_COLUMNS, "column", "scalar_raw").agg(
-        F.avg("_node").alias("mean"),
-        F.stddev_samp("_node").alias("std"),
-        F.count("_node").alias("n_nodes"),
+    # Index columns are told by name: one test per column, not one per node.
+    index = F.col("scalar_raw").rlike(NUMERIC_NAME) | F.col("scalar_raw").rlike(BLANK_NAME)
+    collapsed = (
+        nodes.groupBy(*FILE_COLUMNS, "column", "scalar_raw")
+        .agg(
+            F.avg("_node").alias("mean"),
+            F.stddev_samp("_node").alias("std"),
+            F.count("_node").alias("n_nodes"),
+        )
+        # Tied to an aggregate, so that the test stays above it.
+        .where(F.when(index, 0).otherwise(F.col("n_nodes")) > 0)
     )
     return as_records(
         collapsed.select(
@@ -196,12 +202,13 @@ class BundleFormat(NamedTuple):
 
     name: str
     priority: int
-    file_regex: str
+    file_regex: str | None
     parse: Callable[[DataFrame], DataFrame]
+    file_end: str = ""
 
     @property
     def pattern(self) -> FilePattern:
-        return FilePattern("bundle", self.name, self.priority, self.file_regex)
+        return FilePattern("bundle", self.name, self.priority, self.file_end, self.file_regex)
 
 
 _PARSERS = {
@@ -210,7 +217,7 @@ _PARSERS = {
     "tractometry": tractometry_records,
 }
 DEFAULT_FORMATS = tuple(
-    BundleFormat(p.source_type, p.priority, p.name_regex, _PARSERS[p.source_type])
+    BundleFormat(p.source_type, p.priority, p.name_regex, _PARSERS[p.source_type], p.name_end)
     for p in BUNDLE_PATTERNS
 )
 

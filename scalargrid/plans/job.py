@@ -146,7 +146,7 @@ def build(
 
     # Scalar records.
     rows = stage(
-        _rows_of(spark, recon_globs, _any_name([p.name_regex for p in patterns]), bundle_files),
+        _rows_of(spark, recon_globs, _any_name([p.scan_regex for p in patterns]), bundle_files),
         "rows", work_dir, partition_by="source_type",
     )
     records = stage(parse_bundles(rows, formats), "records", work_dir)
@@ -156,7 +156,7 @@ def build(
     fields = stage(
         sidecar_fields(
             src.read_documents(
-                spark, recon_globs, _any_name([p.name_regex for p in SIDECAR_PATTERNS])
+                spark, recon_globs, _any_name([p.scan_regex for p in SIDECAR_PATTERNS])
             ).join(sidecar_files, "path")
         ),
         "sidecars", work_dir,
@@ -244,7 +244,7 @@ def _qc(
 ) -> DataFrame:
     """One row per session that has any quality-control data."""
     regex = {
-        category: _any_name([p.name_regex for p in QC_PATTERNS if p.category == category])
+        category: _any_name([p.scan_regex for p in QC_PATTERNS if p.category == category])
         for category in ("image_qc", "confounds")
     }
 

@@ -37,6 +37,21 @@ def stage(
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def small_pairs(
+    df: DataFrame, first: str, second: str, limit: int = AXIS_LIMIT
+) -> tuple[list[str], list[str]] | None:
+    """Sorted distinct values of two columns from one pass, or None if either is long."""
+    if limit < 1:
+        return None
+    most = 16 * limit
+    rows = (
+        df.select(first, second).where(F.col(first).isNotNull() & F.col(second).isNotNull())
+        .distinct().take(most + 1)
+    )
+    values = sorted({r[0] for r in rows}), sorted({r[1] for r in rows})
+    return None if len(rows) > most or max(map(len, values)) > limit else values
+
+
 def small_values(df: DataFrame, column: str, limit: int = AXIS_LIMIT) -> list[str] | None:
     """Sorted distinct values of a column, or None when there are more than ``limit``."""
     rows = (

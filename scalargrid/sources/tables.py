@@ -103,7 +103,12 @@ def table_rows(
             "if(problem is null, slice(_lines, 2, size(_lines)), null) as _body",
         )
         .selectExpr(
-            *others, "problem", f"{_column_names('_named', header_style)} as header", "_body"
+            *others,
+            # A generator: computed once per file, never copied into later filters.
+            f"""inline(array(named_struct(
+                  'problem', problem,
+                  'header', {_column_names('_named', header_style)},
+                  '_body', _body)))""",
         )
     )
     rows = parsed.selectExpr(*others, "problem", "header", "posexplode_outer(_body) as (_at, _line)")
