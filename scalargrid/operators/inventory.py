@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scalargrid.functions.cells import NO_SESSION, strip_label
+from scalargrid.runtime import computed_once
 from scalargrid.sources.patterns import (
     BUNDLE_PATTERNS,
     DATASET_DESCRIPTION,
@@ -34,12 +35,7 @@ def extract_entities(
         F.nullif(F.regexp_extract(column, pattern, i), F.lit("")).alias(name)
         for i, name in enumerate(names, start=1)
     ]
-    return _computed_once(df, groups)
-
-
-def _computed_once(df: DataFrame, columns: Sequence[Column]) -> DataFrame:
-    """Add columns through a generator, which no later filter or projection repeats."""
-    return df.select("*", F.inline(F.array(F.struct(*columns))))
+    return computed_once(df, groups)
 
 
 def with_entities(files: DataFrame) -> DataFrame:
@@ -50,7 +46,7 @@ def with_entities(files: DataFrame) -> DataFrame:
     """
     place = r"^(?:.*/)?(sub-[^/]+)/(?:(ses-[^/]+)/)?(dwi/[^/]+$)?"
     suffix = F.regexp_extract("path", rf"^(?:.*/)?{RECON_FOLDER_PREFIX}([^/]+)/", 1)
-    return _computed_once(
+    return computed_once(
         files,
         [
             F.coalesce(F.nullif(suffix, F.lit("")), F.lit("unknown")).alias("recon_suffix"),
@@ -117,7 +113,7 @@ def classify_files(
         number = F.when(hit & name.rlike(p.name_regex) if p.name_regex else hit, i).otherwise(number)
     kinds = F.lit([p.category for p in patterns]), F.lit([p.source_type for p in patterns])
     return (
-        _computed_once(files, [number.alias("_kind")])
+        computed_once(files, [number.alias("_kind")])
         .where(F.col("_kind").isNotNull())
         .select(
             *files.columns,

@@ -13,12 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scalargrid.functions.cells import is_missing, normalise_bundle, to_number
+
 from scalargrid.functions.names import (
     canonical_scalar,
     is_shape_stat,
     scalar_from_file,
     source_from_file,
 )
+from scalargrid.runtime import computed_once
 from scalargrid.sources.patterns import BUNDLE_PATTERNS, FilePattern
 
 FILE_COLUMNS = ("path", "subject", "session", "recon_suffix")
@@ -82,7 +84,9 @@ def bundle_table_records(rows: DataFrame, source_type: str | None = None) -> Dat
             F.posexplode("values").alias("column", "_cell"),
         )
         .where(F.col("column") != F.col("_id") - 1)
-        .withColumn("value", to_number(F.col("_cell")))
+    )
+    cells = (
+        computed_once(cells, [to_number(F.col("_cell")).alias("value")])
         .where(F.col("value").isNotNull())
         .withColumn("scalar_raw", F.get("header", "column"))
     )
@@ -121,7 +125,6 @@ def along_tract_records(rows: DataFrame, scalar_name: str | None = None) -> Data
         _usable(rows)
         .select(*FILE_COLUMNS, "values", F.posexplode("header").alias("column", "scalar_raw"))
         .withColumn("_node", to_number(F.get("values", "column")))
-        .where(F.col("_node").isNotNull())
     )
     # Index columns are told by name: one test per column, not one per node.
     index = F.col("scalar_raw").rlike(NUMERIC_NAME) | F.col("scalar_raw").rlike(BLANK_NAME)
@@ -168,8 +171,9 @@ def bundle_stats_records(rows: DataFrame, scalar_name: str | None = None) -> Dat
         )
         .where(F.col("scalar_raw").isin("mean", "std"))
         .withColumn("_cell", F.get("values", "column"))
-        .withColumn("value", to_number(F.col("_cell")))
-        .where(F.col("value").isNotNull() | is_missing(F.col("_cell")))
+    )
+    cells = computed_once(cells, [to_number(F.col("_cell")).alias("value")]).where(
+        F.col("value").isNotNull() | is_missing(F.col("_cell"))
     )
     return as_records(
         cells.withColumn("scalar", F.concat_ws("_", _scalar_base(scalar_name), "scalar_raw"))

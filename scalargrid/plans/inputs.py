@@ -9,6 +9,7 @@ return flag; unbounded tables are given line by line instead.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RECON = "/data/recon/derivatives/qsirecon-W"
 ENTITY_COLUMNS = ("path", "subject", "session", "recon_suffix")
@@ -94,19 +95,19 @@ def cohort_axes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 def tract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Node-by-bundle tables, one per supplier and year, as lines."""
-    items = table(spark, sf_dir, "lineitem")
-    path = f"""concat('{RECON}', l_suppkey % 3, '/sub-', l_suppkey, '/ses-', year(l_shipdate),
-                      '/dwi/sub-', l_suppkey, '_tractometry_FA.csv') as path"""
+    items = table(spark, sf_dir, "lineitem").withColumnsRenamed({"l_suppkey": "s"})
     entities = (
-        path, "concat('sub-', l_suppkey) as subject", "concat('ses-', year(l_shipdate)) as session",
-        "concat('W', l_suppkey % 3) as recon_suffix",
+        f"""concat('{RECON}', s % 3, '/sub-', s, '/ses-', y, '/dwi/sub-', s, '_tractometry_FA.csv')
+            as path""",
+        "concat('sub-', s) as subject", "concat('ses-', y) as session",
+        "concat('W', s % 3) as recon_suffix",
     )
-    heads = items.selectExpr(*entities).distinct().selectExpr(
-        *ENTITY_COLUMNS, "-1L as row", "',AF_left,CST-right,ifo r,0.5' as line"
+    heads = items.selectExpr("s", "year(l_shipdate) as y").distinct().selectExpr(
+        *entities, "0L as row", "',AF_left,CST-right,ifo r,0.5' as line"
     )
     return heads.unionByName(
-        items.selectExpr(
-            *entities, "l_orderkey as row",
+        items.withColumn("y", F.year("l_shipdate")).selectExpr(
+            *entities, "l_orderkey + 1 as row",
             """concat_ws(',', l_orderkey, l_quantity, round(l_discount * 100),
                          if(l_linenumber = 3, 'n/a', string(round(l_tax * 100))), 1) as line""",
         )
@@ -133,18 +134,19 @@ def stats_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def motion_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Displacement time series, one per user and event type, as lines."""
     events = table(spark, sf_dir, "events")
-    keys = ("concat('sub-', user_id) as subject", "concat('ses-', event_type) as session")
-    path = ("concat('/data/preproc/', subject, '/', session, "
-            "'/dwi/x_desc-confounds_timeseries.tsv') as path")
-    heads = events.selectExpr(*keys).distinct().selectExpr(
-        path, "subject", "session", "-1L as row",
-        r"'trans_x\tframewise_displacement\tCSF' as line",
+    keys = (
+        """concat('/data/preproc/sub-', user_id, '/ses-', event_type,
+                  '/dwi/x_desc-confounds_timeseries.tsv') as path""",
+        "concat('sub-', user_id) as subject", "concat('ses-', event_type) as session",
+    )
+    heads = events.select("user_id", "event_type").distinct().selectExpr(
+        *keys, "0L as row", r"'trans_x\tframewise_displacement\tCSF' as line",
     )
     return heads.unionByName(
         events.selectExpr(
-            *keys, "event_id as row",
+            *keys, "event_id + 1 as row",
             r"concat_ws('\t', event_id % 10, if(event_id % 11 = 0, 'n/a', string(value)), 0) as line",
-        ).selectExpr(path, "subject", "session", "row", "line")
+        )
     )
 
 

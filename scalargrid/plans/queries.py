@@ -828,14 +828,14 @@ _LONG_COLUMNS = (
 
 def _session_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     motion = inputs.motion_lines(spark, sf_dir).withColumn(
-        "session", F.expr("if(row < 0, session, concat('ses-', 1995 + row % 7))")
+        "session", F.expr("concat('ses-', 1995 + (row - 1) % 7)")
     )
     # One header line per time series of the supplier cohort.
     spine = col.session_grid(*inputs.cohort_axes(spark, sf_dir))
     lines = spine.selectExpr(
-        "concat(subject, session, '.tsv') as path", "subject", "session", "-1L as row",
+        "concat(subject, session, '.tsv') as path", "subject", "session", "0L as row",
         r"'trans_x\tframewise_displacement\tCSF' as line",
-    ).unionByName(motion.where("row >= 0").withColumn("path", F.expr("concat(subject, session, '.tsv')")))
+    ).unionByName(motion.where("row > 0").withColumn("path", F.expr("concat(subject, session, '.tsv')")))
     qc = quality.censoring_summary(line_rows(lines, "raw"), 40.0)
     sidecars = side.reduce_sidecars(side.sidecar_fields(inputs.sidecar_documents(spark, sf_dir)))
     info = col.session_metadata(spine, sidecars, qc, _ages(spark, sf_dir), 100.0, 50.0)

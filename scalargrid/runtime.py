@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Most values of one axis that are carried inside the plan as an array literal.
@@ -37,6 +38,15 @@ def stage(
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def computed_once(df: DataFrame, columns: Sequence[Column]) -> DataFrame:
+    """Add columns through a generator, which no later filter or projection repeats.
+
+    A plain projection is merged into the filters above it, and its regexes and
+    casts then run once per use.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*columns))))
+
+
 def small_pairs(
     df: DataFrame, first: str, second: str, limit: int = AXIS_LIMIT
 ) -> tuple[list[str], list[str]] | None:

@@ -126,15 +126,20 @@ def read_long_files(
     """``(path, row, line)`` of files longer than ``min_bytes``, read in splits.
 
     ``row`` is the byte offset of the split plus the line's place in it. A line
-    is at least one byte long, so this grows along the file and never repeats.
+    is at least one byte long, so this grows along the file, never repeats, and is
+    0 for the first line that is not blank: the header.
     """
     frames = []
     for df in _load(spark, "text", globs, name_regex):
-        lines = df.where(F.col("_metadata.file_size") > min_bytes).select(
-            _file_path().alias("path"),
-            F.col("_metadata.file_block_start").alias("split_start"),
-            F.monotonically_increasing_id().alias("place"),
-            F.col("value").alias("line"),
+        lines = (
+            df.where(F.col("_metadata.file_size") > min_bytes)
+            .where(F.btrim("value") != "")
+            .select(
+                _file_path().alias("path"),
+                F.col("_metadata.file_block_start").alias("split_start"),
+                F.monotonically_increasing_id().alias("place"),
+                F.col("value").alias("line"),
+            )
         )
         # One row per split, at most a split's bytes per group.
         starts = lines.groupBy("path", "split_start").agg(F.min("place").alias("first_place"))

@@ -122,9 +122,9 @@ def table_rows(
 def line_rows(lines: DataFrame, header_style: str = "snake") -> DataFrame:
     """Row frame from single lines ``(path, row, line, ...)``, for files of any length.
 
-    The line with the lowest ``row`` is the header of its file. It is found with
-    a map-side aggregate and joined back, so no task ever holds a whole file; a
-    file with most of the lines is split by the adaptive skew join.
+    Row 0 of a file is its header; it is joined to the other lines, so no task
+    ever holds a whole file. A file with most of the lines is no trouble: headers
+    are small enough to be broadcast, or else the adaptive join splits the file.
     """
     others = [c for c in lines.columns if c not in ("row", "line")]
     hidden = _hide_quoted("_text")
@@ -133,26 +133,22 @@ def line_rows(lines: DataFrame, header_style: str = "snake") -> DataFrame:
         .where("trim(_text) != ''")
         .selectExpr(*others, "row", f"{hidden} as line")
     )
+    widest = lines.groupBy("path").agg(F.expr(f"max({_width('line')})").alias("_widest"))
     heads = (
-        lines.groupBy("path")
-        .agg(
-            F.min("row").alias("_head_row"),
-            F.min_by("line", "row").alias("_head"),
-            F.expr(f"max({_width('line')})").alias("_widest"),
-        )
+        lines.where("row = 0").selectExpr("path", "line as _head").join(widest, "path")
         .selectExpr(
-            "path", "_head_row",
+            "path",
             f"{_named(_cells('_head'))} as _named",
             f"if(_widest > {_width('_head')}, '{LONG_ROW}', null) as problem",
         )
         .selectExpr(
-            "path", "_head_row", f"{_column_names('_named', header_style)} as header", "problem"
+            "path", f"{_column_names('_named', header_style)} as header", "problem"
         )
     )
     # Of an unusable file only the header line stays, to carry the problem.
     return (
         lines.join(heads, "path")
-        .where("if(problem is null, row > _head_row, row = _head_row)")
+        .where("if(problem is null, row > 0, row = 0)")
         .selectExpr(
             *others, "row",
             "if(problem is null, header, null) as header",
