@@ -76,7 +76,7 @@ def resolve_sessions(files: DataFrame, by: Sequence[str] = ("recon_suffix", "sub
         files.join(layers, list(by))
         .where(F.col("session").isNotNull() | ~F.col("_layered"))
         .withColumn("session", F.coalesce("session", F.lit(NO_SESSION)))
-        .drop("_layered")
+        .select(*files.columns)
     )
 
 
