@@ -33,7 +33,11 @@ def is_missing(cell: Column) -> Column:
 
 def to_number(cell: Column) -> Column:
     """DOUBLE value of a text cell; NULL (never NaN) when it is not a number."""
-    text = strip(cell)
+    return stripped_number(strip(cell))
+
+
+def stripped_number(text: Column) -> Column:
+    """The same for text without white space at its ends, best a column of its own."""
     # Text that starts and ends like a number and has no "x" needs no regex: the
     # cast alone decides. Codes 43-57 are + , - . / and the digits, 46-57 . / and the digits.
     plain = (

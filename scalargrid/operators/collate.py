@@ -18,6 +18,8 @@ from scalargrid.operators.inventory import SESSION_KEYS
 from scalargrid.operators.records import ORDER_COLUMNS
 from scalargrid.runtime import AXIS_LIMIT, small_pairs, small_values
 
+# Most scalars that can become columns.
+MAX_WIDE_SCALARS = 10_000
 LONG_KEYS = ("subject", "session", "bundle", "scalar")
 BUNDLE_KEYS = ("subject", "session", "bundle")
 
@@ -115,8 +117,8 @@ def order_of(df: DataFrame, order: Sequence[str] = ORDER_COLUMNS) -> Column:
     return F.col(present[0]) if len(present) == 1 else F.struct(*present)
 
 
-def _scalar_names(records: DataFrame, limit: int = 10_000) -> list[str]:
-    names = small_values(records, "scalar", limit)
+def _scalar_names(records: DataFrame) -> list[str]:
+    names = small_values(records, "scalar", MAX_WIDE_SCALARS)
     if names is None:
         raise ValueError("too many distinct scalars for columns; use the long format")
     return names
@@ -127,23 +129,34 @@ def wide_table(
     scalars: Sequence[str] | None = None,
     order: Sequence[str] = ORDER_COLUMNS,
     keep: Sequence[str] = (),
+    pivot_from: int = 200,
 ) -> DataFrame:
     """One row per bundle, one column per scalar; first value per cell by ``order``.
 
     ``keep`` names record columns that are reduced to their first non-null value.
     Without ``scalars`` the distinct names are looked up first.
+
+    One aggregate per column, all in one pass: the records of a bundle mostly come
+    from one file, so they combine to one row before the shuffle. From
+    ``pivot_from`` scalars on, where that costs too much per record, a pivot is used.
     """
     if scalars is None:
         scalars = _scalar_names(records)
     by = order_of(records, order)
-    values = (
-        records.groupBy(*BUNDLE_KEYS).pivot("scalar", list(scalars)).agg(first_by("value", by))
-        if scalars else records.select(*BUNDLE_KEYS).distinct()
-    )
-    if not keep:
+    kept = [first_by(c, by).alias(c) for c in keep]
+    if len(scalars) < pivot_from:
+        filled = F.col("value").isNotNull()
+        cells = [
+            F.min_by("value", F.when(filled & (F.col("scalar") == name), by)).alias(name)
+            for name in scalars
+        ]
+        if not cells + kept:
+            return records.select(*BUNDLE_KEYS).distinct()
+        return records.groupBy(*BUNDLE_KEYS).agg(*cells, *kept)
+    values = records.groupBy(*BUNDLE_KEYS).pivot("scalar", list(scalars)).agg(first_by("value", by))
+    if not kept:
         return values
-    kept = records.groupBy(*BUNDLE_KEYS).agg(*[first_by(c, by).alias(c) for c in keep])
-    return values.join(kept, list(BUNDLE_KEYS))
+    return values.join(records.groupBy(*BUNDLE_KEYS).agg(*kept), list(BUNDLE_KEYS))
 
 
 def complete_wide(
@@ -163,14 +176,17 @@ def complete_wide(
     never expanded: only three-key rows are completed.
     """
     found = records if closed else _in_cohort(records, subjects, sessions)
-    if scalars is None:
-        valued = records.where(F.col("value").isNotNull()) if drop_empty else records
-        scalars = _scalar_names(valued)
-    wide = wide_table(found, scalars, order, keep)
     if drop_empty:
-        cells = [c for c in wide.columns if c not in (*BUNDLE_KEYS, *keep)]
-        return wide.dropna("all", subset=cells) if cells else wide
-    grid = expand_axis(session_grid(subjects, sessions, limit), records, "bundle", limit)
+        names = scalars or _scalar_names(records.where(F.col("value").isNotNull()))
+        wide = wide_table(found, names, order, keep)
+        return wide.dropna("all", subset=names) if names else wide
+    axes = small_pairs(records, "bundle", "scalar", limit)
+    wide = wide_table(found, scalars or (axes[1] if axes else None), order, keep)
+    grid = session_grid(subjects, sessions, limit)
+    grid = (
+        _explode_values(grid, "bundle", axes[0]) if axes
+        else expand_axis(grid, records, "bundle", limit)
+    )
     return grid.join(wide, list(BUNDLE_KEYS), "left")
 
 

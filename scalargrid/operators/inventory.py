@@ -102,26 +102,28 @@ def entity_values(files: DataFrame, column: str) -> DataFrame:
 
 
 def classify_files(
-    files: DataFrame, bundle_patterns: Sequence[FilePattern] = BUNDLE_PATTERNS
+    files: DataFrame,
+    bundle_patterns: Sequence[FilePattern] = BUNDLE_PATTERNS,
+    keep_others: bool = False,
 ) -> DataFrame:
-    """Add ``category, source_type, priority`` by file name; other files are dropped."""
+    """Add ``category, source_type, priority`` by file name.
+
+    Other files are dropped, or kept with these columns NULL.
+    """
     patterns = (*bundle_patterns, *SIDECAR_PATTERNS, *QC_PATTERNS)
     name = F.col("file_name")
     number = F.lit(None).cast("int")
     for i, p in reversed(list(enumerate(patterns))):
         hit = F.endswith(name, F.lit(p.name_end))
         number = F.when(hit & name.rlike(p.name_regex) if p.name_regex else hit, i).otherwise(number)
-    kinds = F.lit([p.category for p in patterns]), F.lit([p.source_type for p in patterns])
-    return (
-        computed_once(files, [number.alias("_kind")])
-        .where(F.col("_kind").isNotNull())
-        .select(
-            *files.columns,
-            F.get(kinds[0], "_kind").alias("category"),
-            F.get(kinds[1], "_kind").alias("source_type"),
-            F.get(F.lit([p.priority for p in patterns]), "_kind").alias("priority"),
-        )
-    )
+    kinds = [
+        F.get(F.lit([getattr(p, field) for p in patterns]), "_kind").alias(field)
+        for field in ("category", "source_type", "priority")
+    ]
+    known = computed_once(files, [number.alias("_kind")])
+    if not keep_others:
+        known = known.where(F.col("_kind").isNotNull())
+    return known.select(*files.columns, *kinds)
 
 
 def pick_bundle_files(files: DataFrame, bundle_source: str = "auto") -> DataFrame:
@@ -148,8 +150,8 @@ def pick_qc_files(files: DataFrame) -> DataFrame:
     ``subject, session, era, qc_path, confounds_path, many_qc_files``.
 
     The current naming era wins over the legacy one, then the first path.
-    Sessions with neither file are kept. ``files`` may hold unclassified files
-    (``category`` NULL), whose folders still count as sessions.
+    Sessions with neither file are kept, so ``files`` should include those of no
+    known kind: their folders count as sessions.
     """
     def when(category: str, era: str | None = None) -> Column:
         hit = (F.col("category") == category) & F.col("in_dwi")

@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scalargrid.functions.cells import is_missing, normalise_bundle, to_number
+from scalargrid.functions.cells import is_missing, normalise_bundle, strip, stripped_number
 
 from scalargrid.functions.names import (
     canonical_scalar,
@@ -84,9 +84,10 @@ def bundle_table_records(rows: DataFrame, source_type: str | None = None) -> Dat
             F.posexplode("values").alias("column", "_cell"),
         )
         .where(F.col("column") != F.col("_id") - 1)
+        .withColumn("_cell", strip(F.col("_cell")))
     )
     cells = (
-        computed_once(cells, [to_number(F.col("_cell")).alias("value")])
+        computed_once(cells, [stripped_number(F.col("_cell")).alias("value")])
         .where(F.col("value").isNotNull())
         .withColumn("scalar_raw", F.get("header", "column"))
     )
@@ -124,7 +125,8 @@ def along_tract_records(rows: DataFrame, scalar_name: str | None = None) -> Data
     nodes = (
         _usable(rows)
         .select(*FILE_COLUMNS, "values", F.posexplode("header").alias("column", "scalar_raw"))
-        .withColumn("_node", to_number(F.get("values", "column")))
+        .withColumn("_text", strip(F.get("values", "column")))
+        .withColumn("_node", stripped_number(F.col("_text")))
     )
     # Index columns are told by name: one test per column, not one per node.
     index = F.col("scalar_raw").rlike(NUMERIC_NAME) | F.col("scalar_raw").rlike(BLANK_NAME)
@@ -170,9 +172,9 @@ def bundle_stats_records(rows: DataFrame, scalar_name: str | None = None) -> Dat
             F.posexplode("header").alias("column", "scalar_raw"),
         )
         .where(F.col("scalar_raw").isin("mean", "std"))
-        .withColumn("_cell", F.get("values", "column"))
+        .withColumn("_cell", strip(F.get("values", "column")))
     )
-    cells = computed_once(cells, [to_number(F.col("_cell")).alias("value")]).where(
+    cells = computed_once(cells, [stripped_number(F.col("_cell")).alias("value")]).where(
         F.col("value").isNotNull() | is_missing(F.col("_cell"))
     )
     return as_records(

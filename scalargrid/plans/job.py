@@ -165,9 +165,8 @@ def build(
     # Quality control.
     qc_table = qc_files = None
     if include_qc:
-        known = inv.classify_files(preproc, ()).select("path", "category", "source_type", "priority")
         qc_files = stage(
-            inv.pick_qc_files(preproc.join(known, "path", "left")), "qc_files", work_dir
+            inv.pick_qc_files(inv.classify_files(preproc, (), keep_others=True)), "qc_files", work_dir
         )
         qc_table = _qc(spark, preproc_globs, qc_files, group_dir, fd_threshold)
 

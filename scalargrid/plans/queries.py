@@ -197,7 +197,7 @@ def complete_grid(spark, sf_dir):
     records = _bundle_records(spark, sf_dir, withhold=True).select(
         *col.LONG_KEYS, "value", "recon_suffix"
     )
-    return col.complete_grid(records, *inputs.cohort_axes(spark, sf_dir))
+    return col.complete_grid(records, *inputs.cohort_axes(spark, sf_dir), closed=True)
 
 
 @query(f"{_GRID_SQL} SELECT * FROM long")
@@ -447,8 +447,7 @@ def era_fallback(spark, sf_dir):
             "regexp_replace(path, '^.*/(sub-[^/]+/)', '/data/preproc/$1') as path"
         )), by=["subject"],
     )
-    known = inv.classify_files(located, ()).select("path", "category", "source_type", "priority")
-    chosen = inv.pick_qc_files(located.join(known, "path", "left"))
+    chosen = inv.pick_qc_files(inv.classify_files(located, (), keep_others=True))
     name = r"([0-9]{12})_[^/]*$"
     return chosen.select(
         "subject", "session", "era",

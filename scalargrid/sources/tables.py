@@ -104,7 +104,7 @@ def table_rows(
         )
         .selectExpr(
             *others,
-            # A generator: computed once per file, never copied into later filters.
+            # A generator: computed once per file, never repeated in later filters.
             f"""inline(array(named_struct(
                   'problem', problem,
                   'header', {_column_names('_named', header_style)},
@@ -115,8 +115,9 @@ def table_rows(
     if not keep_empty:
         rows = rows.where("_line is not null or problem is not null")
     return rows.selectExpr(
-        *others, "bigint(_at + 1) as row", "header", f"{_cells('_line')} as values", "problem"
-    )
+        *others, "problem", "header",
+        f"inline(array(named_struct('row', bigint(_at + 1), 'values', {_cells('_line')})))",
+    ).select(*others, "row", "header", "values", "problem")
 
 
 def line_rows(lines: DataFrame, header_style: str = "snake") -> DataFrame:
@@ -151,10 +152,12 @@ def line_rows(lines: DataFrame, header_style: str = "snake") -> DataFrame:
         .where("if(problem is null, row > 0, row = 0)")
         .selectExpr(
             *others, "row",
-            "if(problem is null, header, null) as header",
-            f"if(problem is null, {_cells('line')}, null) as values",
             "problem",
+            f"""inline(array(named_struct(
+                  'header', if(problem is null, header, null),
+                  'values', if(problem is null, {_cells('line')}, null))))""",
         )
+        .select(*others, "row", "header", "values", "problem")
     )
 
 

@@ -58,8 +58,9 @@ def test_grid_needs_no_shuffle_of_records(spark):
 def test_first_value_wins_in_wide(spark):
     rows = [("s", "t", "b", "x", v, r, p, i, 0) for v, r, p, i in
             ((3.0, "B", "/1", 0), (2.0, "A", "/2", 1), (1.0, "A", "/2", 2), (None, "A", "/1", 0))]
-    got = col.wide_table(records(spark, rows), keep=["recon_suffix"]).first()
-    assert (got["x"], got["recon_suffix"]) == (2.0, "A")
+    for pivot_from in (200, 0):
+        got = col.wide_table(records(spark, rows), keep=["recon_suffix"], pivot_from=pivot_from).first()
+        assert (got["x"], got["recon_suffix"]) == (2.0, "A")
 
 
 def test_wide_is_rectangular_unless_asked(spark):

@@ -71,8 +71,8 @@ def test_sidecars_each_once(spark):
 def qc(spark, *names):
     paths = [f"/p/sub-01/ses-{s}/dwi/{n}" for s, n in names]
     files = located(spark, *paths)
-    known = inv.classify_files(files, ()).select("path", "category", "source_type", "priority")
-    chosen = inv.pick_qc_files(files.join(known, "path", "left")).orderBy("session").collect()
+    known = inv.classify_files(files, (), keep_others=True)
+    chosen = inv.pick_qc_files(known).orderBy("session").collect()
     return [
         (r["session"], r["era"], *(p and p.split("/")[-1] for p in (r["qc_path"], r["confounds_path"])),
          r["many_qc_files"]) for r in chosen
