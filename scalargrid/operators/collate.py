@@ -8,6 +8,7 @@ any other.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -61,7 +62,8 @@ def expand_axis(
 
 
 def _explode_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
-    literal = F.lit(list(values)) if values else F.array().cast("array<string>")
+    # As JSON the list reaches the plan in one piece, where it is folded to an array.
+    literal = F.from_json(F.lit(json.dumps(list(values))), "array<string>")
     return df.withColumn(column, F.explode(literal))
 
 

@@ -24,7 +24,6 @@ from scalargrid.sources.patterns import (
 )
 
 SESSION_KEYS = ("subject", "session")
-BUNDLE_SOURCES = ("auto", "bundle_means", "scalarstats", "tractometry")
 
 
 def extract_entities(

@@ -12,7 +12,13 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scalargrid.functions.cells import is_missing, normalise_bundle, strip, stripped_number
+from scalargrid.functions.cells import (
+    is_missing,
+    normalise_bundle,
+    null_if_nan,
+    strip,
+    stripped_number,
+)
 
 from scalargrid.functions.names import (
     canonical_scalar,
@@ -53,14 +59,17 @@ def _usable(rows: DataFrame) -> DataFrame:
 
 
 def as_records(df: DataFrame) -> DataFrame:
-    """Bring any frame with the record columns it knows to the record schema."""
+    """Bring any frame with the record columns it knows to the record schema.
+
+    A value that is not a number, or NaN, becomes NULL.
+    """
     types = dict(f.split() for f in RECORD_SCHEMA.split(", "))
-    return df.select(
-        *[
-            (F.col(c) if c in df.columns else F.lit(None)).cast(types[c]).alias(c)
-            for c in RECORD_COLUMNS
-        ]
-    )
+    columns = {
+        c: (F.col(c).try_cast(kind) if c in df.columns else F.lit(None).cast(kind))
+        for c, kind in types.items()
+    }
+    columns["value"] = null_if_nan(columns["value"])
+    return df.select(*[column.alias(c) for c, column in columns.items()])
 
 
 def bundle_id_position(header: Column) -> Column:

@@ -84,6 +84,20 @@ def test_pivot_and_melt_are_inverse(spark, cells):
     assert col.complete_grid(df, subjects, sessions).count() == n[0] * n[1] * n[2] * n[3]
 
 
+def test_one_key_with_a_third_of_all_rows(spark):
+    many = spark.range(30_000).selectExpr(
+        "if(id % 3 = 0, 's0', concat('s', id % 50)) as subject", "concat('t', id % 2) as session",
+        "'b' as bundle", "if(id % 3 = 0, 'x', concat('c', id % 5)) as scalar", "double(id) as value", "id")
+    subjects, sessions = many.select("subject"), many.select("session")
+    grid = col.complete_grid(many, subjects, sessions)
+    present = grid.where("scalar_present")
+    assert present.count() == 30_000
+    keys = many.select(*col.LONG_KEYS).distinct().count()
+    assert grid.count() - 30_000 == subjects.distinct().count() * 2 * 6 - keys
+    first = col.wide_table(many, order=["id"]).where("subject = 's0' and session = 't0'").first()
+    assert first["x"] == 0.0
+
+
 def test_missing_policy(spark):
     missing = col.missing_sessions(records(spark), *axes(spark, ["sub-01"], ["ses-1mo", "ses-6mo"]))
     warned = col.apply_missing_policy(missing, "warn").collect()

@@ -114,6 +114,11 @@ def test_registered_format(spark):
     assert [(r["bundle"], r["value"], r["bundle_source"]) for r in got] == [("b", 4.0, "toy")]
 
 
+def test_typed_records_have_no_nan(spark):
+    df = spark.sql("select 's' as subject, 'nan' as value union all select 't', 'x' union all select 'u', '2'")
+    assert {r["subject"]: r["value"] for r in rec.as_records(df).collect()} == {"s": None, "t": None, "u": 2.0}
+
+
 def test_problems_name_the_file(spark):
     got = rec.file_problems(rows(spark, "x_bundle_means.tsv", "")).first()
     assert got["message"].startswith("parse_error:x_bundle_means.tsv:Could not read ")
