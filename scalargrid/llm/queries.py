@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from scalargrid.llm import exact_dedup
+from scalargrid.llm.exact_dedup import op10_exact_dedup
 from scalargrid.llm.packing import op6_best_fit_packing
+from scalargrid.llm.sharding import op9_hash_ring
 from scalargrid.llm.token_files import op4_token_files
 
 QUERIES = {
     "op4_token_files": op4_token_files,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op9_hash_ring": op9_hash_ring,
+    "op10_exact_dedup": op10_exact_dedup,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_exact_dedup": exact_dedup.ORACLE_SQL}
