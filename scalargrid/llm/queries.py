@@ -6,10 +6,12 @@ from scalargrid.llm import exact_dedup
 from scalargrid.llm.exact_dedup import op10_exact_dedup
 from scalargrid.llm.packing import op6_best_fit_packing
 from scalargrid.llm.sharding import op9_hash_ring
+from scalargrid.llm.simhash import op5_simhash_golay
 from scalargrid.llm.token_files import op4_token_files
 
 QUERIES = {
     "op4_token_files": op4_token_files,
+    "op5_simhash_golay": op5_simhash_golay,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op9_hash_ring": op9_hash_ring,
     "op10_exact_dedup": op10_exact_dedup,
