@@ -7,9 +7,11 @@ from scalargrid.llm.exact_dedup import op10_exact_dedup
 from scalargrid.llm.packing import op6_best_fit_packing
 from scalargrid.llm.sharding import op9_hash_ring
 from scalargrid.llm.simhash import op5_simhash_golay
+from scalargrid.llm.sketches import op2_bottom_k
 from scalargrid.llm.token_files import op4_token_files
 
 QUERIES = {
+    "op2_bottom_k": op2_bottom_k,
     "op4_token_files": op4_token_files,
     "op5_simhash_golay": op5_simhash_golay,
     "op6_best_fit_packing": op6_best_fit_packing,
