@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from scalargrid.llm import exact_dedup
 from scalargrid.llm.exact_dedup import op10_exact_dedup
+from scalargrid.llm.language import op3_rank_order_language
 from scalargrid.llm.packing import op6_best_fit_packing
 from scalargrid.llm.sharding import op9_hash_ring
 from scalargrid.llm.simhash import op5_simhash_golay
 from scalargrid.llm.sketches import op2_bottom_k
 from scalargrid.llm.token_files import op4_token_files
+from scalargrid.llm.toxicity import op8_gru_toxicity
 
 QUERIES = {
     "op2_bottom_k": op2_bottom_k,
+    "op3_rank_order_language": op3_rank_order_language,
     "op4_token_files": op4_token_files,
     "op5_simhash_golay": op5_simhash_golay,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_gru_toxicity": op8_gru_toxicity,
     "op9_hash_ring": op9_hash_ring,
     "op10_exact_dedup": op10_exact_dedup,
 }
