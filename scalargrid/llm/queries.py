@@ -6,6 +6,7 @@ from scalargrid.llm import exact_dedup
 from scalargrid.llm.exact_dedup import op10_exact_dedup
 from scalargrid.llm.language import op3_rank_order_language
 from scalargrid.llm.packing import op6_best_fit_packing
+from scalargrid.llm.privacy import op1_weak_privacy
 from scalargrid.llm.sharding import op9_hash_ring
 from scalargrid.llm.simhash import op5_simhash_golay
 from scalargrid.llm.sketches import op2_bottom_k
@@ -13,6 +14,7 @@ from scalargrid.llm.token_files import op4_token_files
 from scalargrid.llm.toxicity import op8_gru_toxicity
 
 QUERIES = {
+    "op1_weak_privacy": op1_weak_privacy,
     "op2_bottom_k": op2_bottom_k,
     "op3_rank_order_language": op3_rank_order_language,
     "op4_token_files": op4_token_files,
