@@ -15,8 +15,9 @@ How reliable each labeler is follows from expectation-maximisation over the coun
 patterns per kind, starting from the majority. The posteriors then train the final classifier, a
 logistic regression on votes and shape, by the same counts: there are at most a few thousand
 different patterns, so both run on one small table, however large the corpus. A candidate that is
-no base span is added if the classifier gives it ``ACCEPT`` or more and two labelers at least
-speak for it; it must not overlap a base span or an earlier addition.
+no base span is added if the classifier gives it ``ACCEPT`` or more, two labelers at least speak
+for it and none against, and, but for addresses, the context does; it must not overlap a base span
+or an earlier addition.
 
 Offsets come from running sums over the pieces between matches, so they cost one pass. Texts
 without a digit or ``@`` (and without a spelled-out one) have no spans and are not searched.
@@ -55,7 +56,7 @@ WIDE = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++(?:\x20?(?:@|\(at\)|\[at\])\x20?)[A-Za-z0-9-]++(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9.]))[0-9]{1,3}+(?:(?:\.|\[\.\]|\(\.\))[0-9]{1,3}+){3}(?![0-9])",
     "card": r"(?:\G|(?<![0-9]))[0-9]{3,6}+(?:[\x20./-]?[0-9]{3,7}+){2,4}(?![0-9])",
-    "phone": r"(?:\G|(?<![0-9+]))(?:\+|00)?(?:\([0-9]{2,5}\)|[0-9]{2,5})(?:[\x20./-]{1,2}[0-9]{2,5}){2,5}(?![0-9])",
+    "phone": r"(?:\G|(?<![0-9+]))(?:\+|00)?\(?[0-9]{1,5}+(?:[\x20./()-]{1,3}+[0-9]{2,5}+){2,5}(?![0-9])",
 }
 # What labelers know.
 ENDINGS = "com org net edu gov io info biz de fr es uk eu it nl at ch be pt us ca au jp cn in br mx"
@@ -236,7 +237,10 @@ def accepted(candidates: DataFrame) -> list[Pattern]:
     rows = candidates.groupBy("kind", *LABELERS, "shape").count().collect()
     counts = {(r["kind"], tuple(r[n] for n in LABELERS), r["shape"]): r["count"] for r in rows}
     chances = classifier(counts, reliabilities(counts))
-    return sorted(p for p, chance in chances.items() if chance >= ACCEPT and sum(v > 0 for v in p[1]) >= 2 and min(p[1][0], p[1][2]) >= 0 and (p[1][1] > 0 or p[1][2] > 0))
+    return sorted(
+        p for p, chance in chances.items()
+        if chance >= ACCEPT and sum(v > 0 for v in p[1]) >= 2 and min(p[1]) >= 0 and (p[1][2] > 0 or p[0] == "email")
+    )
 
 
 def personal_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -252,9 +256,13 @@ def personal_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     added = candidates.join(F.broadcast(table), names, "left_semi").select("rid", "kind", "base", "start", "end")
     both = strict.unionByName(added)
     # An addition goes where no base span and no earlier addition reaches.
+    # Both windows run from one end: a frame that reaches the far end would be summed anew for every row.
     order = Window.partitionBy("rid").orderBy("start", F.col("end").desc(), F.col("base").desc(), "kind")
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
-    placed = both.withColumn("_reach", F.max("end").over(before)).withColumn("_next", F.min(F.when(F.col("base"), F.col("start"))).over(after))
+    back = Window.partitionBy("rid").orderBy(F.col("start").desc(), "end", "base", F.col("kind").desc())
+    earlier = (Window.unboundedPreceding, -1)
+    placed = both.withColumn("_reach", F.max("end").over(order.rowsBetween(*earlier))).withColumn(
+        "_next", F.min(F.when(F.col("base"), F.col("start"))).over(back.rowsBetween(*earlier))
+    )
     free = (F.coalesce(F.col("_reach"), F.lit(0)) <= F.col("start")) & (F.col("_next").isNull() | (F.col("_next") >= F.col("end")))
     return matches, placed.where(F.col("base") | free).select("rid", "kind", "base", "start", "end")
 
