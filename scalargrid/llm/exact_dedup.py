@@ -54,10 +54,13 @@ def _signed(docs: DataFrame) -> DataFrame:
 
 
 def _undecided(docs: DataFrame) -> DataFrame:
-    """Length and prefix hash of texts that rounds 1 and 2 leave together."""
-    narrow = stage(_signed(docs).select("n_plain", "prefix"), "lengths")
-    lengths = narrow.groupBy("n_plain").count().where("count > 1").select("n_plain")
-    return narrow.join(lengths, "n_plain", "left_semi").groupBy("n_plain", "prefix").count().where("count > 1")
+    """Length and prefix hash of texts that rounds 1 and 2 leave together.
+
+    Rows are counted per length and prefix before lengths are compared: copies are one row by then.
+    """
+    counted = stage(_signed(docs).groupBy("n_plain", "prefix").agg(F.count("*").alias("n")), "prefixes")
+    lengths = counted.groupBy("n_plain").agg(F.sum("n").alias("of_length")).where("of_length > 1")
+    return counted.join(lengths, "n_plain").where("n > 1").select("n_plain", "prefix")
 
 
 def _filter(undecided: DataFrame) -> DataFrame:
