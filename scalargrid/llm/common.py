@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scalargrid.runtime import stage
 
-__all__ = ["attach", "documents", "held_out", "partitions", "stage", "table"]
+__all__ = ["attach", "documents", "held_out", "keep_rows", "partitions", "stage", "table"]
 
 # A key with at least one row in HEAVY_SHARE is heavy; there are at most HEAVY_SHARE such keys.
 HEAVY_SHARE = 2000
@@ -49,3 +49,24 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, columns: Sequence[str])
     # A NULL-free rest: what no heavy group has taken.
     rest = first.where(F.col("_hot").isNull() & F.col(key).isNotNull()).drop("_hot", *columns)
     return settled.unionByName(rest.join(cold, key, "left").select(*settled.columns))
+
+
+def keep_rows(docs: DataFrame, mark: Column, decided: DataFrame) -> DataFrame:
+    """``docs`` without rows that are not kept, and with one of rows that a kept decision repeats.
+
+    ``decided`` is staged, has a row per row of ``docs`` at most, and ``doc_id``, ``mark``, ``kept``.
+    A decision holds for rows of its ``doc_id`` (NULL is equal to NULL) and ``mark``; rows without
+    any stay. All columns come back as they were, whatever their names.
+    """
+    sides = [F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")]
+    dropped = decided.where(~F.col("kept")).select(*sides).distinct()
+    again = decided.where("kept").groupBy(*sides).count().where("count > 1").drop("count")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("key"), mark.alias("own"))
+    same = F.col("key").eqNullSafe(F.col("_id")) & (F.col("own") == F.col("_mark"))
+    left = rows.join(dropped, same, "left_anti")
+    if again.isEmpty():
+        return left.select("row.*")
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    order = Window.partitionBy("key", "own").orderBy(F.length(text).desc(), text)
+    one = left.join(again, same, "left_semi").withColumn("_place", F.row_number().over(order)).where("_place = 1")
+    return left.join(again, same, "left_anti").select("row.*").unionByName(one.select("row.*"))

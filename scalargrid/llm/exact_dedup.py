@@ -23,10 +23,10 @@ an empty table gives no rows; other columns, whatever their names, are not touch
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scalargrid.llm.common import attach, documents, stage
+from scalargrid.llm.common import attach, documents, keep_rows, stage
 
 PREFIX_CHARS = 128
 FILTER_BITS = 1 << 23
@@ -103,18 +103,8 @@ def exact_groups(docs: DataFrame, all_digests: bool = False) -> DataFrame:
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they were."""
-    decided = stage(exact_groups(docs).where(F.col("full").isNotNull()), "decided")
-    dropped = decided.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("full").alias("_full")).distinct()
-    again = decided.where("kept").groupBy(F.col("doc_id").alias("_id"), F.col("full").alias("_full")).count().where("count > 1").drop("count")
-    names = docs.columns
-    rows = docs.select("*", F.sha2(without_space(F.col("text")).cast("binary"), 256).alias("_sha"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_full"))
-    left = rows.join(dropped, same, "left_anti")
-    if again.isEmpty():
-        return left.select(*names)
-    order = Window.partitionBy("doc_id", "_sha").orderBy(F.length(F.coalesce("text", F.lit(""))).desc(), "text")
-    one = left.join(again, same, "left_semi").withColumn("_place", F.row_number().over(order)).where("_place = 1")
-    return left.join(again, same, "left_anti").select(*names).unionByName(one.select(*names))
+    decided = stage(exact_groups(docs).where(F.col("full").isNotNull()).withColumnRenamed("full", "mark"), "decided")
+    return keep_rows(docs, F.sha2(without_space(F.col("text")).cast("binary"), 256), decided)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

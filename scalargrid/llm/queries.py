@@ -5,6 +5,7 @@ from __future__ import annotations
 from scalargrid.llm import exact_dedup
 from scalargrid.llm.exact_dedup import op10_exact_dedup
 from scalargrid.llm.language import op3_rank_order_language
+from scalargrid.llm.mixing import op7_temperature_mixing
 from scalargrid.llm.packing import op6_best_fit_packing
 from scalargrid.llm.privacy import op1_weak_privacy
 from scalargrid.llm.sharding import op9_hash_ring
@@ -20,6 +21,7 @@ QUERIES = {
     "op4_token_files": op4_token_files,
     "op5_simhash_golay": op5_simhash_golay,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_temperature_mixing": op7_temperature_mixing,
     "op8_gru_toxicity": op8_gru_toxicity,
     "op9_hash_ring": op9_hash_ring,
     "op10_exact_dedup": op10_exact_dedup,

@@ -31,10 +31,10 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scalargrid.llm.common import attach, documents, partitions, stage
+from scalargrid.llm.common import attach, documents, keep_rows, partitions, stage
 from scalargrid.llm.components import components
 from scalargrid.llm.golay import codeword_keys
 
@@ -62,16 +62,20 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
+def text_mark() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("mark")
+
+
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``doc_id, fp``; ``fp`` holds the 64 bits as a signed number."""
+    """``doc_id, mark, fp``: the 64 bits as a signed number; ``mark`` is a hash of the whole text."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(t.as_py(), words) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=["doc_id", "fp"])
+            values = np.array([fingerprint(t.as_py(), words) for t in batch.column(2)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(values.view(np.int64))], names=["doc_id", "mark", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        each, "doc_id long, fp long"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_mark(), F.col("text").cast("string").alias("text")).mapInArrow(
+        each, "doc_id long, mark long, fp long"
     )
 
 
@@ -196,7 +200,7 @@ def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS, block: int =
 
 
 def near_groups(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id, fp, component_id`` of every row."""
+    """``doc_id, mark, fp, component_id`` of every row."""
     rows = stage(fingerprints(docs, words), "fingerprints")
     prints = stage(rows.groupBy("fp").agg(F.count("*").alias("group_rows"), F.min("doc_id").alias("first")), "prints")
     roots = components(fingerprint_links(prints, max_bits))
@@ -204,7 +208,14 @@ def near_groups(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -
     least = stage(members.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("group_rows").alias("rows")), "least")
     named = members.join(least.where("rows > 1"), "root").select("fp", "group_rows", "component_id")
     placed = attach(rows, stage(named, "named"), "fp", ["component_id"])
-    return placed.select("doc_id", "fp", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return placed.select("doc_id", "mark", "fp", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def without_near_copies(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` with the smallest ``doc_id`` of each component, all columns as they were."""
+    groups = near_groups(docs, words, max_bits)
+    kept = F.col("component_id").eqNullSafe(F.col("doc_id"))
+    return keep_rows(docs, text_mark(), stage(groups.select("doc_id", "mark", kept.alias("kept")), "near-kept"))
 
 
 def op5_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
