@@ -11,6 +11,12 @@ NA_TOKENS = (
     "#n/a", "#n/a n/a", "#na", "<na>", "-nan", "1.#ind", "-1.#ind", "1.#qnan", "-1.#qnan",
 )
 
+# Text that a table reader takes for an empty cell, compared as it is.
+EMPTY_MARKS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 # Fixed value: the label of a session when a subject has no session folders.
 NO_SESSION = "_no_session"
 
@@ -31,6 +37,11 @@ def is_missing(cell: Column) -> Column:
     return cell.isNull() | F.lower(strip(cell)).isin(*NA_TOKENS)
 
 
+def is_empty(cell: Column) -> Column:
+    """True for NULL and for text that is read as an empty cell, not for other words."""
+    return cell.isNull() | cell.isin(*EMPTY_MARKS)
+
+
 def to_number(cell: Column) -> Column:
     """DOUBLE value of a text cell; NULL (never NaN) when it is not a number."""
     return stripped_number(strip(cell))

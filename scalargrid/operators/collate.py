@@ -17,10 +17,8 @@ from pyspark.sql import functions as F
 from scalargrid.functions.flags import NO_MODEL_DATA, assumption_flag
 from scalargrid.operators.inventory import SESSION_KEYS
 from scalargrid.operators.records import ORDER_COLUMNS
-from scalargrid.runtime import AXIS_LIMIT, small_pairs, small_values
+from scalargrid.runtime import AXIS_LIMIT, distinct_values, small_values
 
-# Most scalars that can become columns.
-MAX_WIDE_SCALARS = 10_000
 LONG_KEYS = ("subject", "session", "bundle", "scalar")
 BUNDLE_KEYS = ("subject", "session", "bundle")
 
@@ -41,30 +39,34 @@ class MissingSessionError(RuntimeError):
 
 
 def expand_axis(
-    df: DataFrame, axis: DataFrame, column: str, limit: int = AXIS_LIMIT, parts: int | None = None
+    df: DataFrame, axis: DataFrame, column: str, limit: int = AXIS_LIMIT
 ) -> DataFrame:
     """Repeat every row of ``df`` once per distinct value of ``axis[column]``.
 
     Up to ``limit`` values travel in the plan as an array and are exploded in
-    place. A longer axis is dealt out by hash into ``parts`` slices that meet the
-    rows by an equality join on the slice number, so that no side is broadcast or
-    collected.
+    place. A longer axis is dealt out by hash into slices of about ``limit`` values
+    that meet the rows by an equality join on the slice number, so that no side is
+    broadcast or collected, and rows are copied once per slice only.
     """
     values = small_values(axis, column, limit)
     if values is not None:
         return _explode_values(df, column, values)
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = axis.select(column).where(F.col(column).isNotNull()).distinct().withColumn(
+    distinct = axis.select(column).where(F.col(column).isNotNull()).distinct()
+    parts = -(-distinct.count() // max(1, limit))
+    dealt = distinct.withColumn(
         "_slice", F.pmod(F.xxhash64(column), F.lit(parts)).cast("int")
     )
     repeated = df.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return repeated.join(dealt, "_slice").drop("_slice")
 
 
-def _explode_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
+def _values_literal(values: Sequence[str]) -> Column:
     # As JSON the list reaches the plan in one piece, where it is folded to an array.
-    literal = F.from_json(F.lit(json.dumps(list(values))), "array<string>")
-    return df.withColumn(column, F.explode(literal))
+    return F.from_json(F.lit(json.dumps(list(values))), "array<string>")
+
+
+def _explode_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
+    return df.withColumn(column, F.explode(_values_literal(values)))
 
 
 def session_grid(subjects: DataFrame, sessions: DataFrame, limit: int = AXIS_LIMIT) -> DataFrame:
@@ -95,14 +97,20 @@ def complete_grid(
     saves two joins.
     """
     found = records if closed else _in_cohort(records, subjects, sessions)
-    grid = session_grid(subjects, sessions, limit)
-    axes = small_pairs(records, "bundle", "scalar", limit)
-    for i, column in enumerate(("bundle", "scalar")):
-        grid = (
-            _explode_values(grid, column, axes[i]) if axes
-            else expand_axis(grid, records, column, limit)
+    bundles = expand_axis(session_grid(subjects, sessions, limit), records, "bundle", limit)
+    names = small_values(records, "scalar", limit)
+    present = found.select(*LONG_KEYS).where(F.col("scalar").isNotNull())
+    if names is None:
+        gaps = expand_axis(bundles, records, "scalar", limit).join(
+            present.distinct(), list(LONG_KEYS), "left_anti"
+        )
+    else:
+        # A bundle's scalars are a set of at most ``limit`` names: what is missing follows in place.
+        sets = present.groupBy(*BUNDLE_KEYS).agg(F.collect_set("scalar").alias("_present"))
+        missing = F.array_except(_values_literal(names), F.coalesce("_present", F.array().cast("array<string>")))
+        gaps = bundles.join(sets, list(BUNDLE_KEYS), "left").select(
+            *BUNDLE_KEYS, F.explode(missing).alias("scalar")
         )
-    gaps = grid.join(found.select(*LONG_KEYS).distinct(), list(LONG_KEYS), "left_anti")
     return (
         found.withColumn("scalar_present", F.lit(True))
         .unionByName(gaps.withColumn("scalar_present", F.lit(False)), allowMissingColumns=True)
@@ -119,46 +127,34 @@ def order_of(df: DataFrame, order: Sequence[str] = ORDER_COLUMNS) -> Column:
     return F.col(present[0]) if len(present) == 1 else F.struct(*present)
 
 
-def _scalar_names(records: DataFrame) -> list[str]:
-    names = small_values(records, "scalar", MAX_WIDE_SCALARS)
-    if names is None:
-        raise ValueError("too many distinct scalars for columns; use the long format")
-    return names
-
-
 def wide_table(
     records: DataFrame,
     scalars: Sequence[str] | None = None,
     order: Sequence[str] = ORDER_COLUMNS,
     keep: Sequence[str] = (),
-    pivot_from: int = 200,
 ) -> DataFrame:
     """One row per bundle, one column per scalar; first value per cell by ``order``.
 
     ``keep`` names record columns that are reduced to their first non-null value.
-    Without ``scalars`` the distinct names are looked up first.
+    Without ``scalars`` the distinct names are looked up first; there may be any number.
 
-    One aggregate per column, all in one pass: the records of a bundle mostly come
-    from one file, so they combine to one row before the shuffle. From
-    ``pivot_from`` scalars on, where that costs too much per record, a pivot is used.
+    Records combine to one row per cell before the shuffle; kept columns come from a second
+    aggregate and meet the cells by equal keys, NULL keys included.
     """
     if scalars is None:
-        scalars = _scalar_names(records)
+        scalars = distinct_values(records, "scalar")
     by = order_of(records, order)
     kept = [first_by(c, by).alias(c) for c in keep]
-    if len(scalars) < pivot_from:
-        filled = F.col("value").isNotNull()
-        cells = [
-            F.min_by("value", F.when(filled & (F.col("scalar") == name), by)).alias(name)
-            for name in scalars
-        ]
-        if not cells + kept:
-            return records.select(*BUNDLE_KEYS).distinct()
-        return records.groupBy(*BUNDLE_KEYS).agg(*cells, *kept)
+    if not scalars:
+        return records.groupBy(*BUNDLE_KEYS).agg(*kept) if kept else records.select(*BUNDLE_KEYS).distinct()
     values = records.groupBy(*BUNDLE_KEYS).pivot("scalar", list(scalars)).agg(first_by("value", by))
     if not kept:
         return values
-    return values.join(records.groupBy(*BUNDLE_KEYS).agg(*kept), list(BUNDLE_KEYS))
+    firsts = records.groupBy(*BUNDLE_KEYS).agg(*kept).select(
+        *(F.col(c).alias(f"_{c}") for c in BUNDLE_KEYS), *(F.col(f"`{c}`") for c in keep)
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in BUNDLE_KEYS]
+    return values.join(firsts, same).drop(*(f"_{c}" for c in BUNDLE_KEYS))
 
 
 def complete_wide(
@@ -179,16 +175,11 @@ def complete_wide(
     """
     found = records if closed else _in_cohort(records, subjects, sessions)
     if drop_empty:
-        names = scalars or _scalar_names(records.where(F.col("value").isNotNull()))
+        names = scalars or distinct_values(records.where(F.col("value").isNotNull()), "scalar")
         wide = wide_table(found, names, order, keep)
         return wide.dropna("all", subset=names) if names else wide
-    axes = small_pairs(records, "bundle", "scalar", limit)
-    wide = wide_table(found, scalars or (axes[1] if axes else None), order, keep)
-    grid = session_grid(subjects, sessions, limit)
-    grid = (
-        _explode_values(grid, "bundle", axes[0]) if axes
-        else expand_axis(grid, records, "bundle", limit)
-    )
+    wide = wide_table(found, scalars or distinct_values(records, "scalar"), order, keep)
+    grid = expand_axis(session_grid(subjects, sessions, limit), records, "bundle", limit)
     return grid.join(wide, list(BUNDLE_KEYS), "left")
 
 
@@ -250,8 +241,9 @@ def add_flag(
 def broadcast_sessions(table: DataFrame, *frames: DataFrame) -> DataFrame:
     """Attach frames with one row per session to every row of that session.
 
-    No side is forced to be broadcast: Spark does so below its own size limit,
-    and otherwise splits a session that owns most rows (left joins allow it).
+    No side is forced to be broadcast: Spark does so below its own size limit. Beyond it a
+    session that owns most rows is split only where ``frame`` is a stored table, so that both
+    sides of the join come straight from a shuffle; ``build`` stores it.
     """
     for frame in frames:
         table = table.join(frame, list(SESSION_KEYS), "left")

@@ -37,23 +37,45 @@ def extract_entities(
     return computed_once(df, groups)
 
 
-def with_entities(files: DataFrame) -> DataFrame:
+def relative_path(path: Column, root: str) -> Column:
+    """Part of a path below the folder ``root``, with or without a scheme; NULL outside of it."""
+    def plain(text: Column) -> Column:
+        return F.regexp_replace(text, r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?", "")
+
+    top = F.concat(F.rtrim(plain(F.lit(root)), F.lit("/")), F.lit("/"))
+    return F.when(F.startswith(plain(path), top), F.substr(plain(path), F.length(top) + 1))
+
+
+def with_entities(files: DataFrame, root: str) -> DataFrame:
     """Add ``recon_suffix, subject, session, file_name, in_dwi`` from ``path``.
 
-    ``session`` is NULL without a session folder. ``in_dwi`` tells whether the
-    file lies directly in the ``dwi`` folder of its subject or session.
+    Folders count by their place below ``root``: one of a workflow, perhaps in
+    ``derivatives``, then one of a subject, then perhaps one of a session. Folders above the
+    root or deeper inside mean nothing, whatever their names. ``session`` is NULL without a
+    session folder. ``in_dwi`` tells whether the file lies directly in the ``dwi`` folder of its
+    subject or session.
     """
-    place = r"^(?:.*/)?(sub-[^/]+)/(?:(ses-[^/]+)/)?(dwi/[^/]+$)?"
-    suffix = F.regexp_extract("path", rf"^(?:.*/)?{RECON_FOLDER_PREFIX}([^/]+)/", 1)
-    return computed_once(
-        files,
-        [
-            F.coalesce(F.nullif(suffix, F.lit("")), F.lit("unknown")).alias("recon_suffix"),
-            F.nullif(F.regexp_extract("path", place, 1), F.lit("")).alias("subject"),
-            F.nullif(F.regexp_extract("path", place, 2), F.lit("")).alias("session"),
-            F.substring_index("path", "/", -1).alias("file_name"),
-            (F.regexp_extract("path", place, 3) != "").alias("in_dwi"),
-        ],
+    parts = F.split(relative_path(F.col("path"), root), "/")
+    split = computed_once(files, [parts.alias("_parts")])
+    start = F.when(F.get("_parts", F.lit(0)) == "derivatives", 1).otherwise(0)
+    flow = F.startswith(F.get("_parts", F.col("_start")), F.lit(RECON_FOLDER_PREFIX))
+    place = F.col("_start") + F.when(flow, 1).otherwise(0)
+
+    def folder(at: Column, prefix: str) -> Column:
+        name = F.get("_parts", at)
+        return F.when(F.startswith(name, F.lit(prefix)) & (at < F.size("_parts") - 1), name)
+
+    located = split.withColumn("_start", start).withColumn("_at", place).select(
+        *files.columns, "_parts", "_at",
+        F.coalesce(F.when(flow, F.substr(F.get("_parts", F.col("_start")), F.lit(len(RECON_FOLDER_PREFIX) + 1))), F.lit("unknown")).alias("recon_suffix"),
+        folder(F.col("_at"), "sub-").alias("subject"), folder(F.col("_at") + 1, "ses-").alias("session"),
+    )
+    inner = F.col("_at") + F.when(F.col("session").isNotNull(), 2).otherwise(1)
+    in_dwi = F.col("subject").isNotNull() & (F.get("_parts", inner) == "dwi") & (F.size("_parts") == inner + 2)
+    session = F.when(F.col("subject").isNotNull(), F.col("session"))
+    return located.select(
+        *files.columns, "recon_suffix", "subject", session.alias("session"),
+        F.substring_index("path", "/", -1).alias("file_name"), F.coalesce(in_dwi, F.lit(False)).alias("in_dwi"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scalargrid.functions.cells import is_missing, name_cell, strip, to_number, with_label
+from scalargrid.functions.cells import is_empty, name_cell, strip, to_number, with_label
 from scalargrid.functions.sidecar_json import UNKNOWN_VERSION, dataset_version
 from scalargrid.operators.inventory import SESSION_KEYS
 from scalargrid.sources.patterns import RECON_FOLDER_PREFIX
@@ -40,12 +40,20 @@ def session_ages(rows: DataFrame) -> DataFrame:
         .select("subject", with_label(label, "ses-").alias("session"), "row", age.alias("_cell"))
         .where(F.col("session").isNotNull())
         .withColumn("_age", to_number(F.col("_cell")))
-        .where(F.col("_age").isNotNull() | is_missing(F.col("_cell")))
+        .where(F.col("_age").isNotNull() | is_empty(F.col("_cell")))
         .groupBy(*SESSION_KEYS)
         .agg(F.max_by("_age", "row").alias("session_age_months"))
     )
 
 
+def age_problems(rows: DataFrame) -> DataFrame:
+    """``(subject, session, path, message)`` of sessions tables that could not be read; no session is known."""
+    return rows.where(F.col("problem").isNotNull()).select(
+        "subject", F.lit(None).cast("string").alias("session"), "path",
+        F.concat(F.lit("sessions_error:Could not read "), "path", F.lit(": "), "problem").alias("message"),
+    )
+
+
 def preproc_version(descriptions: DataFrame) -> Column:
     """Version of the preprocessing dataset, as a scalar subquery."""
     version = descriptions.agg(F.min_by(dataset_version(F.col("content")), "path")).scalar()

@@ -17,6 +17,7 @@ from scalargrid.functions.cells import (
     to_number,
 )
 from scalargrid.operators.inventory import SESSION_KEYS
+from scalargrid.sources.files import ROW_ORDER
 
 # Column of an image-QC file -> column of the output. Where two
 # columns share a target, the later one wins if the file has it.
@@ -98,7 +99,7 @@ def group_metrics(table: DataFrame, numeric: Sequence[str] | None = None) -> lis
 
     Without ``numeric`` one aggregate over the table finds those columns.
     """
-    metrics = [c for c in table.columns if c not in (*GROUP_ID_COLUMNS, "row")]
+    metrics = [c for c in table.columns if c not in (*GROUP_ID_COLUMNS, ROW_ORDER)]
     if numeric is None and metrics:
         checks = table.agg(
             *[
@@ -122,7 +123,7 @@ def group_lookup(
 
     Rows match on the subject id, else on the subject token of ``bids_name``,
     else all match; and on the session id where the table has one and the
-    session has a label. ``table`` has text cells and an ordering column ``row``.
+    session has a label. ``table`` has text cells and an ordering column ``_row_order``.
     """
     subject = session = None
     if "subject_id" in table.columns:
@@ -136,7 +137,7 @@ def group_lookup(
     keyed = table.select(
         *([subject.alias("_subject")] if subject is not None else []),
         *([session.alias("_session")] if session is not None else []),
-        "row",
+        F.col(ROW_ORDER).alias("row"),
         metrics.alias("_metrics"),
     )
     keys = [c for c in keyed.columns if c in ("_subject", "_session")]
@@ -176,3 +177,10 @@ def qc_problems(chosen: DataFrame) -> DataFrame:
         F.concat(F.lit("multiple_qc_files:using "), F.substring_index("qc_path", "/", -1))
         .alias("message"),
     )
+
+
+def unusable_files(rows: DataFrame, kind: str) -> DataFrame:
+    """``(subject, session, path, message)`` of quality files that could not be read."""
+    return rows.where(F.col("problem").isNotNull()).select(
+        *SESSION_KEYS, "path", F.concat(F.lit(f"{kind}_error:Could not read "), "path", F.lit(": "), "problem").alias("message")
+    )

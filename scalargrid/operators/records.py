@@ -276,3 +276,12 @@ def file_problems(rows: DataFrame) -> DataFrame:
             F.lit(": "), "problem",
         ).alias("message"),
     )
+
+
+def layout_problems(rows: DataFrame) -> DataFrame:
+    """``(subject, session, path, message)`` of tract tables whose header shows no known layout."""
+    tracts = rows.where((F.col("source_type") == "tractometry") & F.col("problem").isNull())
+    return tracts.where(tract_layout(F.col("header")).isNull()).select(
+        "subject", "session", "path",
+        F.concat(F.lit("parse_error:"), _file_name(), F.lit(":Unrecognised tract table layout")).alias("message"),
+    ).distinct()

@@ -80,16 +80,13 @@ def reduce_sidecars(fields: DataFrame) -> DataFrame:
 
 
 def sidecar_problems(fields: DataFrame) -> DataFrame:
-    """``(subject, session, path, message)`` of parameters that are not numbers."""
+    """``(subject, session, path, message)`` of unreadable files and of parameters that are not numbers."""
     text = F.array("d_par_text", "d_iso_text")
     bad = F.filter(text, lambda v: v.isNotNull() & to_number(v).isNull() & (F.lower(v) != "nan"))
-    return (
-        fields.where(F.col("is_noddi") & (F.size(bad) > 0))
-        .select(
-            *SESSION_KEYS, "path",
-            F.concat(
-                F.lit("dwimap_json_error:could not convert string to float: '"),
-                F.get(bad, F.lit(0)), F.lit("'"),
-            ).alias("message"),
-        )
+    message = F.when(~F.col("readable"), F.concat(F.lit("Could not read "), "path")).when(
+        F.col("is_noddi") & (F.size(bad) > 0),
+        F.concat(F.lit("could not convert string to float: '"), F.get(bad, F.lit(0)), F.lit("'")),
     )
+    return fields.select(
+        *SESSION_KEYS, "path", F.concat(F.lit("dwimap_json_error:"), message).alias("message")
+    ).where(F.col("message").isNotNull())

@@ -160,15 +160,21 @@ def order_rows(spark: SparkSession, sf_dir: str, header: str, values: str) -> Da
     )
 
 
+# The root of the inventories: a folder above it is named like that of a subject.
+RECON_ROOT = "/data/sub-study/recon"
+
+
 def order_files(spark: SparkSession, sf_dir: str, names: str) -> DataFrame:
     """Inventory with one file per order. Every third customer has no session
-    folders; of the others, some orders lie outside of one."""
+    folders; of the others, some orders lie outside of one. Some files lie deeper,
+    in a folder that is named like that of a subject."""
     return table(spark, sf_dir, "orders").selectExpr(
-        f"""concat('/data/recon/', if(o_orderkey % 4 < 2, 'derivatives/', ''), 'qsirecon-',
+        f"""concat('{RECON_ROOT}/', if(o_orderkey % 4 < 2, 'derivatives/', ''), 'qsirecon-',
                    o_orderstatus, '/sub-', o_custkey, '/',
                    if(o_custkey % 3 = 0 or o_orderkey % 10 = 0, '',
                       concat('ses-', year(o_orderdate), '/')),
-                   if(o_orderkey % 12 = 5, 'anat', 'dwi'), '/', {names}) as path"""
+                   case o_orderkey % 12 when 5 then 'anat' when 7 then 'dwi/sub-1_work' else 'dwi' end,
+                   '/', {names}) as path"""
     )
 
 

@@ -20,14 +20,15 @@ from scalargrid.operators.records import (
     FILE_COLUMNS,
     BundleFormat,
     file_problems,
+    layout_problems,
     parse_bundles,
 )
 from scalargrid.operators.sidecars import reduce_sidecars, sidecar_fields, sidecar_problems
-from scalargrid.runtime import shared_dir, stage
+from scalargrid.runtime import remove_dir, shared_dir, stage
 from scalargrid.sources import files as src
 from scalargrid.sources import sinks
 from scalargrid.sources.patterns import QC_PATTERNS, SIDECAR_PATTERNS
-from scalargrid.sources.tables import line_rows, table_rows
+from scalargrid.sources.tables import table_rows
 
 SCALAR_FORMATS = ("long", "wide")
 MISSING_POLICIES = ("warn", "error", "ignore")
@@ -67,14 +68,11 @@ def _any_name(regexes: Sequence[str]) -> str:
 
 def _rows_of(
     spark: SparkSession, globs: Sequence[str], name_regex: str, chosen: DataFrame,
-    header_style: str = "snake", keep_empty: bool = False,
+    header_style: str = "snake", keep_empty: bool = False, first: int | None = None,
 ) -> DataFrame:
-    """Row frame of the chosen files: short ones whole, long ones by line."""
+    """Row frame of the chosen files."""
     documents = src.read_documents(spark, globs, name_regex).join(chosen, "path")
-    lines = src.read_long_files(spark, globs, name_regex).join(chosen, "path")
-    return table_rows(documents, header_style, keep_empty).unionByName(
-        line_rows(lines, header_style)
-    )
+    return table_rows(documents, header_style, keep_empty, first)
 
 
 def build(
@@ -111,13 +109,14 @@ def build(
     # Files.
     preproc_globs = src.preproc_globs(preproc_dir, subjects)
     recon_globs = src.recon_globs(spark, recon_dir, subjects, recon_suffixes)
-    found = stage(
+    trees = {"preproc": (preproc_dir, preproc_globs), "recon": (recon_dir, recon_globs)}
+    listed = [
         inv.with_entities(
-            src.list_files(spark, preproc_globs).withColumn("tree", F.lit("preproc"))
-            .unionByName(src.list_files(spark, recon_globs).withColumn("tree", F.lit("recon")))
-        ),
-        "inventory", work_dir,
-    )
+            src.list_files(spark, globs).withColumn("tree", F.lit(name)), src.plain_root(spark, root)
+        )
+        for name, (root, globs) in trees.items()
+    ]
+    found = stage(listed[0].unionByName(listed[1]), "inventory", work_dir)
     inside = found.where(F.col("subject").isNotNull())
     preproc = inv.keep_labels(
         inv.resolve_sessions(inside.where(F.col("tree") == "preproc")), subjects, sessions
@@ -150,7 +149,7 @@ def build(
         "rows", work_dir, partition_by="source_type",
     )
     records = stage(parse_bundles(rows, formats), "records", work_dir)
-    problems = file_problems(rows)
+    problems = file_problems(rows).unionByName(layout_problems(rows))
 
     # Model sidecars.
     fields = stage(
@@ -164,16 +163,20 @@ def build(
 
     # Quality control.
     qc_table = qc_files = None
+    unusable = []
     if include_qc:
         qc_files = stage(
             inv.pick_qc_files(inv.classify_files(preproc, (), keep_others=True)), "qc_files", work_dir
         )
-        qc_table = _qc(spark, preproc_globs, qc_files, group_dir, fd_threshold)
+        qc_table, unusable = _qc(spark, preproc_globs, qc_files, group_dir, fd_threshold, work_dir)
 
     # Ages and versions.
-    age_rows = _rows_of(
-        spark, preproc_globs, r"(?:^|_)sessions\.tsv$",
-        inv.pick_age_files(inside.where(F.col("tree") == "preproc")), "lower",
+    age_rows = stage(
+        _rows_of(
+            spark, preproc_globs, r"(?:^|_)sessions\.tsv$",
+            inv.pick_age_files(inside.where(F.col("tree") == "preproc")), "lower",
+        ),
+        "age_rows", work_dir,
     )
     descriptions = src.read_documents(
         spark, [preproc_globs[-1], recon_globs[-1]]
@@ -191,10 +194,12 @@ def build(
         "sessions", work_dir,
     )
 
-    # The table. Every record comes from a folder of the cohort, so the grid is closed.
+    # The table. Built-in formats keep the folder of each record, so their grid is closed;
+    # of other formats only records of the cohort count.
+    closed = all(f in DEFAULT_FORMATS for f in formats)
     table = col.collate(
         records, cohort_subjects, cohort_sessions, session_info, scalar_format,
-        drop_empty=drop_empty, closed=True,
+        drop_empty=drop_empty, closed=closed,
     )
     missing = col.missing_sessions(records, cohort_subjects, cohort_sessions)
     if records.isEmpty():
@@ -215,6 +220,9 @@ def build(
     warnings = [
         log.warning_events(1, problems),
         log.warning_events(2, sidecar_problems(fields)),
+        *(log.warning_events(3, frame) for frame in unusable),
+        # A sessions table is about all sessions of its subject.
+        log.warning_events(3, meta.age_problems(age_rows).drop("session").join(cohort, "subject")),
         log.warning_events(4, gaps),
     ]
     if qc_files is not None:
@@ -239,9 +247,9 @@ def build(
 
 def _qc(
     spark: SparkSession, globs: Sequence[str], qc_files: DataFrame,
-    group_dir: str | None, fd_threshold: float,
-) -> DataFrame:
-    """One row per session that has any quality-control data."""
+    group_dir: str | None, fd_threshold: float, work_dir: str,
+) -> tuple[DataFrame, list[DataFrame]]:
+    """One row per session that has any quality-control data, and what could not be used."""
     regex = {
         category: _any_name([p.scan_regex for p in QC_PATTERNS if p.category == category])
         for category in ("image_qc", "confounds")
@@ -252,14 +260,19 @@ def _qc(
             *inv.SESSION_KEYS, F.col(column).alias("path")
         )
 
-    image = quality.image_qc(_rows_of(spark, globs, regex["image_qc"], chosen("qc_path")))
-    confounds = quality.censoring_summary(
+    image_rows = stage(_rows_of(spark, globs, regex["image_qc"], chosen("qc_path"), first=1), "qc_rows", work_dir)
+    confound_rows = stage(
         _rows_of(spark, globs, regex["confounds"], chosen("confounds_path"), "raw", keep_empty=True),
-        fd_threshold,
+        "confound_rows", work_dir,
     )
     group = src.read_group_table(spark, group_dir) if group_dir else None
     metrics = quality.group_lookup(qc_files, group) if group is not None else None
-    return quality.merge_qc(image, confounds, metrics)
+    merged = quality.merge_qc(
+        quality.image_qc(image_rows), quality.censoring_summary(confound_rows, fd_threshold), metrics
+    )
+    return merged, [
+        quality.unusable_files(image_rows, "qc"), quality.unusable_files(confound_rows, "confounds")
+    ]
 
 
 def run(
@@ -275,8 +288,13 @@ def run(
 ) -> DataFrame:
     """Build all outputs, write them below ``output_dir``, return the primary table."""
     outputs = build(spark, preproc_dir, recon_dir, group_dir, **parameters)
+    given = parameters.get("work_dir")
     table = sinks.write_table(outputs.table, output_dir, parquet, sort)
     if outputs.dictionary is not None:
         sinks.write_data_dictionary(outputs.dictionary, output_dir)
     sinks.write_run_log(outputs.run_log, output_dir)
+    if not parquet:
+        table = sinks.read_table(table, output_dir)
+    if given is None:  # of no use any more: the primary table is read from its files
+        remove_dir(spark, outputs.work_dir)
     return table

@@ -319,33 +319,38 @@ def column_order(spark, sf_dir):
 
 _PATHS_SQL = """
     paths AS (
-      SELECT '/data/recon/' || CASE WHEN o_orderkey % 4 < 2 THEN 'derivatives/' ELSE '' END
+      SELECT '/data/sub-study/recon/' || CASE WHEN o_orderkey % 4 < 2 THEN 'derivatives/' ELSE '' END
              || 'qsirecon-' || o_orderstatus || '/sub-' || o_custkey || '/'
              || CASE WHEN o_custkey % 3 = 0 OR o_orderkey % 10 = 0 THEN ''
                      ELSE 'ses-' || year(o_orderdate) || '/' END
-             || CASE WHEN o_orderkey % 12 = 5 THEN 'anat' ELSE 'dwi' END || '/' AS folder,
+             || CASE o_orderkey % 12 WHEN 5 THEN 'anat' WHEN 7 THEN 'dwi/sub-1_work' ELSE 'dwi' END
+             || '/' AS folder,
              o_orderstatus AS recon_suffix, 'sub-' || o_custkey AS subject,
              CASE WHEN o_custkey % 3 <> 0 AND o_orderkey % 10 <> 0
                   THEN 'ses-' || year(o_orderdate) END AS found_session,
-             o_orderkey % 12 <> 5 AS in_dwi, o_orderkey, o_orderpriority
+             o_orderkey % 12 NOT IN (5, 7) AS in_dwi, o_orderkey, o_orderpriority
       FROM orders),
     files AS (
       SELECT * EXCLUDE (found_session, layered), coalesce(found_session, '_no_session') AS session
       FROM (SELECT *, bool_or(found_session IS NOT NULL)
-                        OVER (PARTITION BY recon_suffix, subject) AS layered FROM paths)
+                        OVER (PARTITION BY recon_suffix, subject) AS layered
+            FROM paths WHERE folder LIKE '%/derivatives/%')
       WHERE found_session IS NOT NULL OR NOT layered)"""
 
 
+def _located(files: DataFrame) -> DataFrame:
+    """The root branch first, then the session layer of each subject in it."""
+    return inv.resolve_sessions(inv.below_derivatives(inv.with_entities(files, inputs.RECON_ROOT)))
+
+
 @query(f"""
     WITH {_PATHS_SQL}
     SELECT folder || 'f' || o_orderkey || '.json' AS path, recon_suffix, subject, session,
            'f' || o_orderkey || '.json' AS file_name, in_dwi
-    FROM files WHERE folder LIKE '%/derivatives/%'""")
+    FROM files""")
 def path_entities(spark, sf_dir):
     """Entities from paths, the root branch, and the session layer of each subject."""
-    files = inputs.order_files(spark, sf_dir, "'f', o_orderkey, '.json'")
-    entities = inv.with_entities(files)
-    return inv.below_derivatives(inv.resolve_sessions(entities))
+    return _located(inputs.order_files(spark, sf_dir, "'f', o_orderkey, '.json'"))
 
 
 @query(f"""
@@ -355,9 +360,7 @@ def path_entities(spark, sf_dir):
       AND right(subject, 1) IN ('1', '5') AND length(subject) = 6""")
 def path_filters(spark, sf_dir):
     """Include-lists of subjects, sessions and workflows."""
-    files = inv.resolve_sessions(
-        inv.with_entities(inputs.order_files(spark, sf_dir, "'f', o_orderkey, '.json'"))
-    )
+    files = _located(inputs.order_files(spark, sf_dir, "'f', o_orderkey, '.json'"))
     listed = [str(n) for n in range(10, 100) if n % 10 in (1, 5)]
     return inv.keep_labels(files, listed, ["1996", "1998", "_no_session"], ["F", "O"]).select(
         "recon_suffix", "subject", "session"
@@ -365,16 +368,16 @@ def path_filters(spark, sf_dir):
 
 
 @query("""
-    SELECT regexp_extract(url, '^https?://([^/]+)/([a-z]{2})/([0-9]+)', 1) AS host,
-           regexp_extract(url, '^https?://([^/]+)/([a-z]{2})/([0-9]+)', 2) AS lang,
-           regexp_extract(url, '^https?://([^/]+)/([a-z]{2})/([0-9]+)', 3) AS number, page_id
-    FROM pages WHERE regexp_matches(url, '^https?://([^/]+)/([a-z]{2})/([0-9]+)')""")
+    SELECT nullif(regexp_extract(url, '^https?://([^/]+)/([a-z]{2})/([0-9]+)', 1), '') AS host,
+           nullif(regexp_extract(url, '^https?://([^/]+)/([a-z]{2})/([0-9]+)', 2), '') AS lang,
+           nullif(regexp_extract(url, '^https?://([^/]+)/([a-z]{2})/([0-9]+)', 3), '') AS number, page_id
+    FROM pages""")
 def url_entities(spark, sf_dir):
     """Entities from any path-like text."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return inv.extract_entities(
         pages, "url", r"^https?://([^/]+)/([a-z]{2})/([0-9]+)", ["host", "lang", "number"]
-    ).drop("url").where("host is not null")
+    ).drop("url")
 
 
 _KINDS_SQL = f"""{_PATHS_SQL},
@@ -389,7 +392,7 @@ def _bundle_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = inputs.order_files(spark, sf_dir, """o_orderkey, case left(o_orderpriority, 1)
         when '1' then '_bundle_means.tsv' when '2' then '_bundles-A_scalarstats.csv'
         when '3' then '_Tractometry_FA.csv' when '4' then '_dwi.json' else '_means.tsv' end""")
-    return inv.classify_files(inv.resolve_sessions(inv.with_entities(files)))
+    return inv.classify_files(_located(files))
 
 
 @query(f"""
@@ -444,8 +447,8 @@ def era_fallback(spark, sf_dir):
         else '_dwi.nii.gz' end""")
     located = inv.resolve_sessions(
         inv.with_entities(files.selectExpr(
-            "regexp_replace(path, '^.*/(sub-[^/]+/)', '/data/preproc/$1') as path"
-        )), by=["subject"],
+            "regexp_replace(path, '^.*/qsirecon-[^/]+/', '/data/preproc/') as path"
+        ), "/data/preproc"), by=["subject"],
     )
     chosen = inv.pick_qc_files(inv.classify_files(located, (), keep_others=True))
     name = r"([0-9]{12})_[^/]*$"
@@ -470,7 +473,7 @@ def age_files(spark, sf_dir):
              when 0 then concat('sub-', o_custkey, '_sessions.tsv') when 1 then 'sessions.tsv'
              when 2 then 'dwi/sessions.tsv' else 'notes.tsv' end) as path"""
     )
-    return inv.pick_age_files(inv.with_entities(files))
+    return inv.pick_age_files(inv.with_entities(files, "/data/preproc"))
 
 
 @query(f"""
@@ -479,9 +482,7 @@ def age_files(spark, sf_dir):
     UNION SELECT 'session', session FROM files UNION SELECT 'recon_suffix', recon_suffix FROM files""")
 def entity_values(spark, sf_dir):
     """Distinct subjects, sessions and workflows."""
-    files = inv.resolve_sessions(
-        inv.with_entities(inputs.order_files(spark, sf_dir, "'f', o_orderkey, '.json'"))
-    )
+    files = _located(inputs.order_files(spark, sf_dir, "'f', o_orderkey, '.json'"))
     return log.union_events(*[
         inv.entity_values(files, c).select(F.lit(c).alias("entity"), F.col(c).alias("label"))
         for c in ("subject", "session", "recon_suffix")
@@ -559,7 +560,7 @@ def first_row_qc(spark, sf_dir):
 
 def _group_table(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey as row", key,
+        "o_orderkey as _row_order", key,
         "concat(if(o_orderkey % 2 = 0, 'ses-', ''), year(o_orderdate)) as session_id",
         "'dwi' as task_id", "if(o_orderkey % 9 = 0, 'n/a', string(o_totalprice)) as price",
         "o_orderpriority as site",
@@ -610,10 +611,10 @@ def iqm_bids_name(spark, sf_dir):
 @query("""
     WITH m AS (
       SELECT 'sub-' || user_id AS subject, 'ses-' || event_type AS session, count(*) AS qc_n_volumes
-      FROM events WHERE user_id % 2 = 0 GROUP BY ALL),
+      FROM events WHERE user_id % 3 = 0 OR user_id % 2 = 1 GROUP BY ALL),
     i AS (
       SELECT 'sub-' || user_id AS subject, 'ses-' || event_type AS session, min(value) AS qc_mean_fd
-      FROM events WHERE user_id % 3 = 0 GROUP BY ALL),
+      FROM events WHERE user_id % 2 = 0 GROUP BY ALL),
     g AS (
       SELECT 'sub-' || user_id AS subject, 'ses-' || event_type AS session, max(value) AS mriqc_efc
       FROM events WHERE user_id % 5 = 0 GROUP BY ALL)
@@ -621,16 +622,17 @@ def iqm_bids_name(spark, sf_dir):
     FROM i FULL JOIN m USING (subject, session) FULL JOIN g USING (subject, session)""")
 def qc_merge(spark, sf_dir):
     """Three sources of quality data in one row per session that has any."""
-    def part(divisor: int, value: str) -> DataFrame:
+    def part(users: str, value: str) -> DataFrame:
         return (
-            table(spark, sf_dir, "events").where(f"user_id % {divisor} = 0")
+            table(spark, sf_dir, "events").where(users)
             .selectExpr("concat('sub-', user_id) as subject", "concat('ses-', event_type) as session", "value")
             .groupBy("subject", "session").agg(F.expr(value))
         )
 
     return quality.merge_qc(
-        part(3, "min(value) as qc_mean_fd"), part(2, "count(value) as qc_n_volumes"),
-        part(5, "max(value) as mriqc_efc"),
+        part("user_id % 2 = 0", "min(value) as qc_mean_fd"),
+        part("user_id % 3 = 0 or user_id % 2 = 1", "count(value) as qc_n_volumes"),
+        part("user_id % 5 = 0", "max(value) as mriqc_efc"),
     )
 
 
@@ -770,7 +772,7 @@ def flag_without_model(spark, sf_dir):
     warns AS (
       SELECT subject, session,
              string_agg('w' || i, '|' ORDER BY i % 3, lpad(CAST(i AS VARCHAR), 12, '0')) AS w
-      FROM o WHERE kind = '5' AND i % 2 = 0 GROUP BY ALL)
+      FROM o WHERE kind = '5' GROUP BY ALL)
     SELECT subject, session,
            CASE WHEN b IS NOT NULL AND q IS NOT NULL AND w IS NULL THEN 'ok'
                 WHEN b IS NOT NULL OR q IS NOT NULL THEN 'partial' ELSE 'missing' END AS status,
@@ -787,7 +789,7 @@ def run_log(spark, sf_dir):
     )
     kind = F.expr("element_at(array('bundle_scalar', 'qc', 'confounds', 'noddi_json'), int(kind))")
     files = log.file_events(orders.where("kind <> '5'"), kind, order="o_orderkey")
-    warned = orders.where("kind = '5' and o_orderkey % 2 = 0").selectExpr(
+    warned = orders.where("kind = '5'").selectExpr(
         "subject", "session", "o_orderkey % 3 as step", "lpad(o_orderkey, 12, '0') as path",
         "concat('w', o_orderkey) as message",
     )

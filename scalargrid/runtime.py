@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -14,15 +13,25 @@ AXIS_LIMIT = 4096
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor sees, as named in ``spark.checkpoint.dir``."""
+    """Folder that every executor sees, as named in ``spark.checkpoint.dir``.
+
+    Where it is not set, a single machine uses its warehouse folder; a cluster must name one.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="scalargrid-")
+    master = spark.conf.get("spark.master", "")
+    if master == "local" or master.startswith("local["):
+        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def remove_dir(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of intermediate tables, on whatever file system it is."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(
     df: DataFrame, name: str, folder: str | None = None, partition_by: str | None = None
 ) -> DataFrame:
@@ -47,19 +56,10 @@ def computed_once(df: DataFrame, columns: Sequence[Column]) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*columns))))
 
 
-def small_pairs(
-    df: DataFrame, first: str, second: str, limit: int = AXIS_LIMIT
-) -> tuple[list[str], list[str]] | None:
-    """Sorted distinct values of two columns from one pass, or None if either is long."""
-    if limit < 1:
-        return None
-    most = 16 * limit
-    rows = (
-        df.select(first, second).where(F.col(first).isNotNull() & F.col(second).isNotNull())
-        .distinct().take(most + 1)
-    )
-    values = sorted({r[0] for r in rows}), sorted({r[1] for r in rows})
-    return None if len(rows) > most or max(map(len, values)) > limit else values
+def distinct_values(df: DataFrame, column: str) -> list[str]:
+    """Sorted distinct values of a column that become names of columns."""
+    rows = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
+    return sorted(r[0] for r in rows)
 
 
 def small_values(df: DataFrame, column: str, limit: int = AXIS_LIMIT) -> list[str] | None:

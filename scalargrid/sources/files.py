@@ -1,4 +1,4 @@
-"""File trees as DataFrames: listing, whole documents, and lines of long files."""
+"""File trees as DataFrames: listing and whole documents."""
 
 from __future__ import annotations
 
@@ -14,9 +14,8 @@ from scalargrid.sources.patterns import (
     RECON_FOLDER_PREFIX,
 )
 
-# Files up to this size are read whole, one row each; longer ones line by line,
-# so that no single file has to fit into one task.
-MAX_DOCUMENT_BYTES = 32 * 1024 * 1024
+# Column of a group table that orders its rows.
+ROW_ORDER = "_row_order"
 
 
 def _labels(prefix: str, labels: Sequence[str] | None) -> str:
@@ -103,60 +102,30 @@ def list_files(
 
 
 def read_documents(
-    spark: SparkSession,
-    globs: Sequence[str],
-    name_regex: str | None = None,
-    max_bytes: int = MAX_DOCUMENT_BYTES,
+    spark: SparkSession, globs: Sequence[str], name_regex: str | None = None
 ) -> DataFrame:
-    """``(path, content)``, one row per file of at most ``max_bytes``."""
+    """``(path, content)``, one row per file of any size.
+
+    A quoted cell may hold line breaks, so only a whole file can be cut into records.
+    """
     frames = [
-        df.where(F.col("_metadata.file_size") <= max_bytes)
-        .select(_file_path().alias("path"), F.col("value").alias("content"))
+        df.select(_file_path().alias("path"), F.col("value").alias("content"))
         for df in _load(spark, "text", globs, name_regex, wholetext="true")
     ]
     return _union(spark, frames, "path string, content string")
 
 
-def read_long_files(
-    spark: SparkSession,
-    globs: Sequence[str],
-    name_regex: str | None = None,
-    min_bytes: int = MAX_DOCUMENT_BYTES,
-) -> DataFrame:
-    """``(path, row, line)`` of files longer than ``min_bytes``, read in splits.
-
-    ``row`` is the byte offset of the split plus the line's place in it. A line
-    is at least one byte long, so this grows along the file, never repeats, and is
-    0 for the first line that is not blank: the header.
-    """
-    frames = []
-    for df in _load(spark, "text", globs, name_regex):
-        lines = (
-            df.where(F.col("_metadata.file_size") > min_bytes)
-            .where(F.btrim("value") != "")
-            .select(
-                _file_path().alias("path"),
-                F.col("_metadata.file_block_start").alias("split_start"),
-                F.monotonically_increasing_id().alias("place"),
-                F.col("value").alias("line"),
-            )
-        )
-        # One row per split, at most a split's bytes per group.
-        starts = lines.groupBy("path", "split_start").agg(F.min("place").alias("first_place"))
-        frames.append(
-            lines.join(starts, ["path", "split_start"]).select(
-                "path",
-                (F.col("split_start") + F.col("place") - F.col("first_place")).alias("row"),
-                "line",
-            )
-        )
-    return _union(spark, frames, "path string, row long, line string")
+def plain_root(spark: SparkSession, root: str) -> str:
+    """Absolute path of a folder as it stands in the paths of its files."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(path).toUri().getPath()
 
 
 def read_group_table(spark: SparkSession, folder: str) -> DataFrame | None:
     """The group-level metrics table with all cells as text, or None if absent.
 
-    ``row`` orders the rows as in the file. Ids stay text, so that leading
+    ``_row_order`` orders the rows as in the file. Ids stay text, so that leading
     zeros survive.
     """
     path = f"{folder.rstrip('/')}/{GROUP_TABLE}"
@@ -170,9 +139,10 @@ def read_group_table(spark: SparkSession, folder: str) -> DataFrame | None:
             F.monotonically_increasing_id().alias("_place"),
         )
     )
-    renamed = [
-        F.col(f"`{c}`").alias(c.strip().lower())
-        for c in table.columns
-        if c not in ("_split_start", "_place")
-    ]
-    return table.select(F.struct("_split_start", "_place").alias("row"), *renamed)
+    names: dict[str, str] = {}
+    for c in table.columns:
+        if c not in ("_split_start", "_place"):
+            # Of names that differ in case or blanks only, the first column counts.
+            names.setdefault(c.strip().lower(), c)
+    renamed = [F.col(f"`{c}`").alias(name) for name, c in names.items() if name != ROW_ORDER]
+    return table.select(F.struct("_split_start", "_place").alias(ROW_ORDER), *renamed)

@@ -36,6 +36,12 @@ def write_table(
     return ordered
 
 
+def read_table(like: DataFrame, folder: str) -> DataFrame:
+    """The primary table read back from its CSV files, with the columns of ``like``."""
+    path = f"{folder}/{TABLE_NAME}.csv"
+    return like.sparkSession.read.schema(like.schema).option("header", True).csv(path)
+
+
 def write_data_dictionary(dictionary: DataFrame, folder: str) -> None:
     """Write the data dictionary as one CSV part (one row per output column)."""
     (

@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 EMPTY_FILE = "No columns to parse from file"
 LONG_ROW = "Error tokenizing data: a row has more cells than the header"
 
-# Separators, and their stand-ins inside quotes while a text is split.
-_SEPARATORS = r"'\n\r\t,'"
-_STAND_INS = r"'\ue000\ue001\ue002\ue003'"
+# A cell that starts with a quote goes on to the quote that closes it, past separators and line
+# breaks; a quote anywhere else, or one that nothing closes, is a character like any other.
+_CELL = r'(?:"(?:[^"]|"")*+")?+[^{mark}\\r\\n]*+'
+_RECORD = rf"{_CELL}(?:{{mark}}{_CELL})*+(?:\\r\\n|\\n|\\r|\\z)"
+_QUOTED = r'(?s)^"((?:[^"]|"")*+)"(.*)$'
 _MARK = r"if(endswith(path, '.tsv'), '\t', ',')"
 
 _STYLES = {
@@ -35,29 +37,32 @@ def _without_bom(text: str) -> str:
     return rf"ltrim('\ufeff', {text})"
 
 
-def _hide_quoted(text: str) -> str:
-    """Separators between quotes become stand-ins; one pass over the text."""
-    return f"""
+def _by_mark(pattern: str) -> str:
+    """A pattern with the separator of the file in it."""
+    tab, comma = (pattern.replace("{mark}", mark) for mark in (r"\\t", ","))
+    return f"if(endswith(path, '.tsv'), '{tab}', '{comma}')"
+
+
+def _records(text: str) -> str:
+    """Lines of a text; those with quotes are cut by the pattern, all others by line breaks."""
+    return rf"""
         if(contains({text}, '"'),
-           array_join(
-             transform(split({text}, '"', -1),
-                       (part, i) -> if(i % 2 = 1, translate(part, {_SEPARATORS}, {_STAND_INS}), part)),
-             '"'),
-           {text})"""
+           transform(regexp_extract_all({text}, {_by_mark(_RECORD)}, 0), r -> rtrim('\r\n', r)),
+           split({text}, '\\r\\n|\\n|\\r', -1))"""
 
 
 def _cells(line: str) -> str:
-    """Cells of a line whose quoted separators are hidden."""
-    inner = r"""regexp_replace(c, r'(?s)^\s*"(.*)"\s*$', '$1')"""
-    plain = f"""translate(replace({inner}, '""', '"'), {_STAND_INS}, {_SEPARATORS})"""
-    return f"""
-        if(contains({line}, '"'),
-           transform(split({line}, {_MARK}, -1), c -> if(contains(c, '"'), {plain}, c)),
-           split({line}, {_MARK}, -1))"""
+    """Cells of a record, without quotes around them."""
+    cut = rf"""transform(
+        regexp_extract_all(concat({_MARK}, {line}), {_by_mark("{mark}(" + _CELL + ")")}, 1),
+        c -> if(rlike(c, '{_QUOTED}'),
+                concat(replace(regexp_extract(c, '{_QUOTED}', 1), '""', '"'), regexp_extract(c, '{_QUOTED}', 2)), c))"""
+    return f"""if(contains({line}, '"'), {cut}, split({line}, {_MARK}, -1))"""
 
 
 def _width(line: str) -> str:
-    return f"(length({line}) - length(replace({line}, {_MARK}, '')) + 1)"
+    plain = f"(length({line}) - length(replace({line}, {_MARK}, '')) + 1)"
+    return f"""if(contains({line}, '"'), size({_cells(line)}), {plain})"""
 
 
 def _named(cells: str) -> str:
@@ -77,17 +82,19 @@ def _column_names(named: str, header_style: str) -> str:
 
 
 def table_rows(
-    docs: DataFrame, header_style: str = "snake", keep_empty: bool = False
+    docs: DataFrame, header_style: str = "snake", keep_empty: bool = False, first: int | None = None
 ) -> DataFrame:
     """Row frame from whole documents ``(path, content, ...)``; no shuffle.
 
     ``.tsv`` files are split at tabs, all others at commas. Quoted cells, CRLF,
     a byte-order mark, blank lines and short rows are understood. With
     ``keep_empty`` a file that has only a header gives one row whose ``row`` is
-    NULL, otherwise none.
+    NULL, otherwise none. With ``first`` only so many rows are looked at.
     """
     others = [c for c in docs.columns if c != "content"]
-    lines = f"""filter(split({_hide_quoted("_text")}, r'\\r\\n|\\n|\\r', -1), line -> trim(line) != '')"""
+    lines = f"filter({_records('_text')}, line -> trim('\\r\\n\\t ', line) != '')"
+    if first is not None:
+        lines = f"slice({lines}, 1, {first + 1})"
     problem = f"""
         case when size(_lines) = 0 then '{EMPTY_FILE}'
              when exists(_lines, line -> {_width("line")} > {_width("get(_lines, 0)")}) then '{LONG_ROW}'
@@ -121,30 +128,28 @@ def table_rows(
 
 
 def line_rows(lines: DataFrame, header_style: str = "snake") -> DataFrame:
-    """Row frame from single lines ``(path, row, line, ...)``, for files of any length.
+    """Row frame from records in lines of their own ``(path, row, line, ...)``.
 
-    Row 0 of a file is its header; it is joined to the other lines, so no task
-    ever holds a whole file. A file with most of the lines is no trouble: headers
-    are small enough to be broadcast, or else the adaptive join splits the file.
+    For tables that arrive line by line; files are read by ``table_rows``. Row 0 of a path is its
+    header. Header and widest row come from one aggregate that combines before the shuffle, and
+    meet the lines again by path; paths are few, so Spark mostly sends them to the lines.
     """
     others = [c for c in lines.columns if c not in ("row", "line")]
-    hidden = _hide_quoted("_text")
-    lines = (
-        lines.selectExpr(*others, "row", rf"rtrim('\r', {_without_bom('line')}) as _text")
-        .where("trim(_text) != ''")
-        .selectExpr(*others, "row", f"{hidden} as line")
+    lines = lines.selectExpr(*others, "row", rf"rtrim('\r', {_without_bom('line')}) as line").where(
+        "trim(line) != ''"
     )
-    widest = lines.groupBy("path").agg(F.expr(f"max({_width('line')})").alias("_widest"))
     heads = (
-        lines.where("row = 0").selectExpr("path", "line as _head").join(widest, "path")
+        lines.groupBy("path").agg(
+            F.max(F.expr("if(row = 0, line, null)")).alias("_head"),
+            F.expr(f"max({_width('line')})").alias("_widest"),
+        )
+        .where("_head is not null")
         .selectExpr(
             "path",
             f"{_named(_cells('_head'))} as _named",
             f"if(_widest > {_width('_head')}, '{LONG_ROW}', null) as problem",
         )
-        .selectExpr(
-            "path", f"{_column_names('_named', header_style)} as header", "problem"
-        )
+        .selectExpr("path", f"{_column_names('_named', header_style)} as header", "problem")
     )
     # Of an unusable file only the header line stays, to carry the problem.
     return (

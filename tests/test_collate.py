@@ -58,9 +58,24 @@ def test_grid_needs_no_shuffle_of_records(spark):
 def test_first_value_wins_in_wide(spark):
     rows = [("s", "t", "b", "x", v, r, p, i, 0) for v, r, p, i in
             ((3.0, "B", "/1", 0), (2.0, "A", "/2", 1), (1.0, "A", "/2", 2), (None, "A", "/1", 0))]
-    for pivot_from in (200, 0):
-        got = col.wide_table(records(spark, rows), keep=["recon_suffix"], pivot_from=pivot_from).first()
-        assert (got["x"], got["recon_suffix"]) == (2.0, "A")
+    got = col.wide_table(records(spark, rows), keep=["recon_suffix"]).first()
+    assert (got["x"], got["recon_suffix"]) == (2.0, "A")
+
+
+def test_any_number_of_scalars_goes_wide(spark):
+    cells = spark.range(10_001).selectExpr(
+        "'s' as subject", "'t' as session", "string(null) as bundle", "concat('c', id) as scalar",
+        "double(id) as value", "'R' as recon_suffix", "'/p' as path", "id as row", "0 as column")
+    wide = col.wide_table(cells)
+    assert len(wide.columns) == 3 + 10_001
+    assert tuple(wide.select("c7", "c10000").first()) == (7.0, 10000.0)
+
+
+def test_long_axes_give_the_same_grid(spark):
+    rows = [("s1", "t1", b, c, 1.0, "R", "/p", 0, 0) for b, c in (("b1", "c1"), ("b2", "c2"), ("b3", "c3"))]
+    frames = [col.complete_grid(records(spark, rows), *axes(spark, ["s1", "s2"], ["t1", "t2"]), limit=n) for n in (100, 2, 1)]
+    found = [sorted(map(str, f.select(*col.LONG_KEYS, "scalar_present").collect())) for f in frames]
+    assert len(found[0]) == 36 and found[0] == found[1] == found[2]
 
 
 def test_wide_is_rectangular_unless_asked(spark):

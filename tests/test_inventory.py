@@ -3,15 +3,15 @@ from scalargrid.operators import inventory as inv
 ROOT = "/data/recon/derivatives/qsirecon-"
 
 
-def located(spark, *paths):
-    return inv.resolve_sessions(inv.with_entities(spark.createDataFrame([(p,) for p in paths], "path string")))
+def located(spark, *paths, root="/data/recon"):
+    files = spark.createDataFrame([(p,) for p in paths], "path string")
+    return inv.resolve_sessions(inv.with_entities(files, root))
 
 
 def test_entities(spark):
     got = located(
         spark, ROOT + "NODDI/sub-01/ses-1/dwi/a_bundle_means.tsv", ROOT + "DTI/sub-02/dwi/b.json",
-        "/data/preproc/sub-03/ses-2/anat/c.txt",
-    ).orderBy("subject").collect()
+    ).unionByName(located(spark, "file:/data/preproc/sub-03/ses-2/anat/c.txt", root="/data/preproc/")).orderBy("subject").collect()
     assert [tuple(r)[1:] for r in got] == [
         ("NODDI", "sub-01", "ses-1", "a_bundle_means.tsv", True),
         ("DTI", "sub-02", "_no_session", "b.json", True),
@@ -70,7 +70,7 @@ def test_sidecars_each_once(spark):
 
 def qc(spark, *names):
     paths = [f"/p/sub-01/ses-{s}/dwi/{n}" for s, n in names]
-    files = located(spark, *paths)
+    files = located(spark, *paths, root="/p")
     known = inv.classify_files(files, (), keep_others=True)
     chosen = inv.pick_qc_files(known).orderBy("session").collect()
     return [
@@ -94,7 +94,7 @@ def test_qc_files(spark):
 def test_age_files(spark):
     files = inv.with_entities(spark.createDataFrame(
         [("/p/sub-01/sessions.tsv",), ("/p/sub-01/sub-01_sessions.tsv",), ("/p/sub-02/sessions.tsv",),
-         ("/p/sub-03/sub-01_sessions.tsv",), ("/p/sub-04/ses-1/sessions.tsv",)], "path string"))
+         ("/p/sub-03/sub-01_sessions.tsv",), ("/p/sub-04/ses-1/sessions.tsv",)], "path string"), "/p")
     assert sorted(tuple(r) for r in inv.pick_age_files(files).collect()) == [
         ("sub-01", "/p/sub-01/sub-01_sessions.tsv"), ("sub-02", "/p/sub-02/sessions.tsv")]
 
@@ -103,3 +103,15 @@ def test_labels(spark):
     files = located(spark, ROOT + "A/sub-01/ses-1/dwi/x", ROOT + "A/sub-01/ses-2/dwi/x")
     assert [r[0] for r in inv.entity_values(files, "subject").collect()] == ["sub-01"]
     assert inv.entity_values(files, "session").count() == 2
+
+
+def test_only_folders_below_the_root_count(spark):
+    root = "/sub-study/ses-x/recon"
+    got = located(
+        spark, root + "/qsirecon-A/sub-01/ses-1/dwi/sub-01_work/f.tsv", root + "/qsirecon-A/sub-01/ses-1/dwi/f.tsv",
+        root + "/qsirecon-A/dataset_description.json", "file://" + root + "/derivatives/qsirecon-B/sub-02/ses-1",
+        "/elsewhere/sub-03/ses-1/dwi/f.tsv", root=root,
+    )
+    rows = sorted(tuple(r)[1:] for r in got.collect() if r["subject"])
+    assert rows == [("A", "sub-01", "ses-1", "f.tsv", False), ("A", "sub-01", "ses-1", "f.tsv", True),
+                    ("B", "sub-02", "_no_session", "ses-1", False)]

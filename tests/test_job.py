@@ -1,10 +1,11 @@
 """The whole job on a small tree, with exact rows."""
 
 import json
+import os
 
 import pytest
 
-from conftest import ABSENT, BUNDLES, SCALARS, SESSIONS, SUBJECTS, delimited, mean_of, write
+from conftest import ALL_VISITS, TRACTS, VISITS, anisotropy, delimited, visits, write
 from scalargrid import build, run
 from scalargrid.operators.dictionary import DICTIONARY_COLUMNS, data_dictionary
 from scalargrid.operators import runlog as log
@@ -22,58 +23,70 @@ def table(outputs):
 
 
 def test_grid_is_complete(table):
-    assert len(table) == 2 * 2 * 4 * 10
+    # 3 x 3 sessions, 3 bundles, 3 scalars; two keys have a row of each of two workflows.
+    keys = {(r["subject"], r["session"], r["bundle"], r["scalar"]) for r in table}
+    assert len(keys) == 81 and len(table) == 83
     gaps = [r for r in table if not r["scalar_present"]]
-    assert {(r["subject"], r["session"]) for r in gaps} == {ABSENT}
-    assert all(r["value"] is None for r in gaps)
+    assert len(gaps) == 81 - 6 * 3 * 2 - 2 and all(r["value"] is None for r in gaps)
+    assert {r["subject"] for r in table} == set(VISITS)
+    assert {r["session"] for r in table} == {f"ses-{v}" for v in ALL_VISITS}
 
 
 def test_values(table):
-    got = {(r["subject"], r["session"], r["bundle"], r["scalar"]): r["value"] for r in table if r["scalar_present"]}
-    for sub in SUBJECTS:
-        for ses in SESSIONS:
-            for bundle in BUNDLES:
-                for s in SCALARS:
-                    if (sub, ses) != ABSENT:
-                        assert got[(sub, ses, bundle.lower(), f"{s}_mean")] == mean_of(sub, ses, bundle, s)
-                        assert got[(sub, ses, bundle.lower(), f"{s}_std")] == 0.02
+    got = sorted(
+        (r["subject"], r["session"], r["bundle"], r["scalar"], r["value"])
+        for r in table if r["recon_suffix"] == "TRACK"
+    )
+    assert got == sorted(
+        (subject, f"ses-{visit}", tract.lower().replace(" ", "_"), scalar, sign * anisotropy(subject, visit, tract))
+        for subject, visit in visits() for tract in TRACTS for scalar, sign in (("fa_mean", 1), ("md_mean", -1))
+    )
+    along = {(r["bundle"], r["scalar"]): r["value"] for r in table if r["recon_suffix"] == "ALONG"}
+    assert {k: round(v, 6) for k, v in along.items()} == {
+        ("arc_left", "fa_mean"): 3.0, ("arc_right", "fa_mean"): 5.0,
+        ("arc_left", "fa_std"): 2.645751, ("arc_right", "fa_std"): 1.732051}
 
 
 def test_session_columns(table):
-    rows = {(r["subject"], r["session"]): r for r in table}
-    r = rows[("sub-01", "ses-1mo")]
-    assert (r["qc_mean_fd"], r["qc_n_volumes"], r["qc_n_censored"], r["qc_pct_censored"]) == (0.35, 99, 9, 0.090909)
-    assert (r["noddi_d_par"], r["noddi_d_iso"], r["noddi_modulated_present"], r["noddi_sidecar_count"]) == (1.7, 3.0, True, 4)
-    assert (r["dti_fitting_method"], r["dti_sidecar_count"]) == ("WLS", 1)
-    assert r["noddi_d_par_flag"] == "WARN:adult_default_d_par_in_infant"
-    assert (r["session_age_months"], r["qsiprep_version"], r["qsirecon_version"]) == (1.0, "1.1.2", "1.1.1")
-    assert (r["mriqc_fd_mean"], r["mriqc_site"], r["recon_suffix"], r["bundle_source"]) == (0.32, "north", "NODDI", "bundle_means")
-    gap = rows[ABSENT]
-    assert (gap["session_age_months"], gap["noddi_d_par_flag"]) == (7.0, "UNKNOWN:sidecar_missing")
-    assert gap["qc_mean_fd"] is None and gap["noddi_modulated_present"] is False
+    rows = {(r["subject"], r["session"][4:]): r for r in table}
+    names = ("noddi_d_par", "noddi_d_iso", "noddi_sidecar_count", "session_age_months", "noddi_d_par_flag",
+             "qc_mean_fd", "qc_ndc", "qc_n_volumes", "qc_n_censored", "qc_pct_censored", "mriqc_efc", "mriqc_row")
+    unknown = "UNKNOWN:sidecar_missing"
+    assert {k: tuple(r[n] for n in names) for k, r in rows.items()} == {
+        ("sub-A1", "base"): (1.7, 2.5, 1, 4.0, "WARN:adult_default_d_par_in_infant", 0.2, 0.5, 4, 2, 0.5, None, None),
+        ("sub-A1", "mid"): (1.4, 2.5, 1, 20.0, "WARN:unexpected_d_par:1.4000", 0.22, 0.52, 2, 0, 0.0, None, None),
+        ("sub-A1", "late"): (1.7, 2.5, 1, 41.0, "INFO:adult_default_d_par", 0.21, 0.51, 1, 1, 1.0, None, None),
+        ("sub-B2", "base"): (None, None, None, 15.0, unknown, 0.2, 0.5, 4, 2, 0.5, None, None),
+        ("sub-B2", "mid"): (None, None, None, None, unknown, None, None, None, None, None, None, None),
+        ("sub-B2", "late"): (None, None, None, None, unknown, None, None, None, None, None, None, None),
+        ("sub-C3", "base"): (None, None, None, None, unknown, None, None, None, None, None, None, None),
+        ("sub-C3", "mid"): (None, None, None, None, unknown, 0.22, 0.52, 2, 0, 0.0, 5.0, "one"),
+        ("sub-C3", "late"): (None, None, None, None, unknown, 0.21, 0.51, 1, 1, 1.0, 7.0, "two"),
+    }
+    assert {(r["qsiprep_version"], r["qsirecon_version"]) for r in table} == {("0.9.3", "2.4.0")}
 
 
 def test_run_log(outputs):
-    rows = {(r["subject"], r["session"]): r for r in outputs.run_log.collect()}
-    assert len(rows) == 4
-    assert rows[("sub-01", "ses-1mo")]["status"] == "ok" and rows[("sub-01", "ses-1mo")]["noddi_json_found"]
-    assert rows[("sub-01", "ses-1mo")]["bundle_scalar_file"].endswith("_bundle_means.tsv")
-    assert (rows[ABSENT]["status"], rows[ABSENT]["warnings"]) == ("missing", "no_scalar_data")
+    rows = {(r["subject"], r["session"][4:]): (r["status"], r["warnings"]) for r in outputs.run_log.collect()}
+    seen = {k: ("ok", "") for k in visits()}
+    assert rows == seen | {
+        (subject, visit): ("missing", "no_scalar_data")
+        for subject in VISITS for visit in ALL_VISITS if (subject, visit) not in seen}
 
 
 def test_flag_counts(outputs):
     assert {r[0]: r[1] for r in outputs.flag_counts.collect()} == {
-        "WARN:adult_default_d_par_in_infant": 120, "UNKNOWN:sidecar_missing": 40}
+        "WARN:adult_default_d_par_in_infant": 11, "WARN:unexpected_d_par:1.4000": 9,
+        "INFO:adult_default_d_par": 9, "UNKNOWN:sidecar_missing": 54}
 
 
-def test_dictionary(outputs, table):
+def test_dictionary(outputs):
     rows = {r["column_name"]: r for r in outputs.dictionary.collect()}
     assert list(rows) == outputs.table.columns
     assert outputs.dictionary.columns == list(DICTIONARY_COLUMNS)
     assert rows["noddi_d_par"]["units"] == "µm²/ms"
-    assert rows["mriqc_site"]["description"] == "MRIQC IQM: site"
-    assert rows["mriqc_site"]["notes"] == "Auto-generated entry. dtype=string"
-    assert rows["dti_sidecar_count"]["description"] == "DTI model parameter: sidecar_count"
+    assert rows["mriqc_row"]["description"] == "MRIQC IQM: row"
+    assert rows["mriqc_row"]["notes"] == "Auto-generated entry. dtype=string"
 
 
 def test_generated_entries(spark):
@@ -85,11 +98,11 @@ def test_generated_entries(spark):
 def test_write_and_read_back(spark, tree, tmp_path):
     out = str(tmp_path / "out")
     table = run(spark, *tree[:2], out, tree[2], parquet=True, sort=True, scalar_format="wide",
-                sessions=["1mo"], missing_session_policy="error")
-    assert table.count() == 2 * 4
+                subjects=["A1", "C3"], sessions=["mid"], missing_session_policy="error")
+    assert table.count() == 2 * 3
     csv = spark.read.option("header", True).csv(f"{out}/scalars_longitudinal.csv")
-    assert csv.count() == 8 and csv.columns == table.columns
-    assert spark.read.parquet(f"{out}/scalars_longitudinal.parquet").count() == 8
+    assert csv.count() == 6 and csv.columns == table.columns
+    assert spark.read.parquet(f"{out}/scalars_longitudinal.parquet").count() == 6
     keys = [tuple(r) for r in csv.select("subject", "session", "bundle").collect()]
     assert keys == sorted(keys)
     logged = spark.read.option("header", True).option("sep", "\t").csv(f"{out}/run_log.tsv")
@@ -97,20 +110,49 @@ def test_write_and_read_back(spark, tree, tmp_path):
     assert spark.read.option("header", True).csv(f"{out}/data_dictionary.csv").count() == len(table.columns)
 
 
+def test_run_leaves_no_intermediate_tables(spark, tree, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    table = run(spark, *tree[:2], str(tmp_path / "out"), subjects=["B2"], include_qc=False)
+    assert set(os.listdir(shared)) == before
+    assert table.count() == 3 * 2 and table.where("scalar_present").count() == 6
+
+
 def test_filters_switches_and_policies(spark, tree):
-    out = build(spark, *tree[:2], subjects=["01"], recon_suffixes=["NODDI"], include_qc=False,
+    out = build(spark, *tree[:2], subjects=["A1"], recon_suffixes=["TRACK", "MODEL"], include_qc=False,
                 include_data_dictionary=False, infant_threshold_months=0.5)
     rows = out.table.collect()
-    assert {r["subject"] for r in rows} == {"sub-01"} and "qc_mean_fd" not in out.table.columns
-    assert {r["noddi_d_par_flag"] for r in rows} == {"INFO:adult_default_d_par"}
+    assert {r["subject"] for r in rows} == {"sub-A1"} and "qc_mean_fd" not in out.table.columns
+    assert {r["noddi_d_par_flag"] for r in rows} == {"INFO:adult_default_d_par", "WARN:unexpected_d_par:1.4000"}
     assert out.dictionary is None
     assert {r["status"] for r in out.run_log.collect()} == {"partial"}
-    with pytest.raises(RuntimeError, match="sub-02 ses-6mo"):
+    with pytest.raises(RuntimeError, match="sub-B2 ses-late"):
         build(spark, *tree[:2], missing_session_policy="error", include_qc=False)
-    empty = build(spark, *tree[:2], bundle_source="tractometry", include_qc=False)
+    empty = build(spark, *tree[:2], bundle_source="scalarstats", include_qc=False)
     assert empty.table.count() == 0 and "scalar_present" in empty.table.columns
 
 
+def test_problems_of_every_source_are_logged(spark, tmp_path):
+    prep, flow = tmp_path / "prep" / "sub-1" / "ses-a" / "dwi", tmp_path / "recon" / "qsirecon-X" / "sub-1" / "ses-a" / "dwi"
+    write(prep / "x_desc-image_qc.tsv", "\n")
+    write(prep / "x_desc-confounds_timeseries.tsv", "framewise_displacement\n1\t2\n")
+    write(tmp_path / "prep" / "sub-1" / "sessions.tsv", "age\n1\t2\n")
+    write(flow / "x_tractometry.csv", "a\n1\n")
+    write(flow / "x_model-noddi_param-od_dwimap.json", "{bad")
+    logged = build(spark, str(tmp_path / "prep"), str(tmp_path / "recon")).run_log.collect()
+    assert len(logged) == 1
+    begins = [w.split(":")[0] for w in logged[0]["warnings"].split("|")]
+    assert begins == ["parse_error", "dwimap_json_error", "confounds_error", "qc_error", "sessions_error"]
+
+
+def test_only_the_first_quality_row_counts(spark, tmp_path):
+    dwi = tmp_path / "prep" / "sub-1" / "ses-a" / "dwi"
+    write(dwi / "x_desc-image_qc.tsv", "mean_fd\n0.5\n0.6\t7\n")
+    flow = tmp_path / "recon" / "qsirecon-X" / "sub-1" / "ses-a" / "dwi"
+    write(flow / "x_bundle_means.tsv", "bundle_name\tmean_fa\nAF\t1\n")
+    assert [r["qc_mean_fd"] for r in build(spark, str(tmp_path / "prep"), str(tmp_path / "recon")).table.collect()] == [0.5]
+
+
 @pytest.mark.parametrize("parameters", [
     {"bundle_source": "x"}, {"scalar_format": "x"}, {"missing_session_policy": "x"},
     {"infant_threshold_months": -1}, {"fd_threshold": 0}])

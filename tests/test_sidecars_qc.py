@@ -99,7 +99,7 @@ def test_censoring(spark):
 
 def group(spark, columns, *rows_):
     return spark.createDataFrame(
-        [(i, *r) for i, r in enumerate(rows_)], "row int, " + ", ".join(f"{c} string" for c in columns))
+        [(i, *r) for i, r in enumerate(rows_)], "_row_order int, " + ", ".join(f"{c} string" for c in columns))
 
 
 def lookup(spark, table, *sessions):

@@ -1,6 +1,9 @@
+from io import StringIO
+
+import pandas as pd
 import pytest
 
-from scalargrid.sources.files import list_files, path_exists, read_documents, read_long_files
+from scalargrid.sources.files import list_files, path_exists, read_documents
 from scalargrid.sources.tables import EMPTY_FILE, LONG_ROW, line_rows, table_cells, table_rows
 
 
@@ -64,31 +67,38 @@ def test_every_file_has_its_own_header(spark):
     assert got == {("a.csv", "x", "1"), ("a.csv", "y", "2"), ("b.csv", "y", "3"), ("b.csv", "x", "4")}
 
 
-def test_long_files_are_split(spark, tmp_path):
-    """Rows of a file read in many splits equal those of the file read whole."""
-    body = "".join(f"{i},{i * 2}\n" for i in range(3000))
-    (tmp_path / "big.csv").write_text("\r\n\nA B,c\n" + body)
-    (tmp_path / "wide.csv").write_text("a,b\n" + "1,2\n" * 3000 + "1,2,3\n")
-    (tmp_path / "small.csv").write_text("a,b\n1,2\n")
-    globs = [str(tmp_path), str(tmp_path / "absent-*")]
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
-    try:
-        lines = read_long_files(spark, globs, r"\.csv$", min_bytes=1000)
-        assert lines.rdd.getNumPartitions() >= 4
-        rows = line_rows(lines)
-        by_line = {
-            (r["path"], tuple(r["header"]), tuple(r["values"]))
-            for r in rows.where("problem is null").collect()
-        }
-        whole = table_rows(read_documents(spark, [str(tmp_path)], "big"))
-        assert by_line == {(r["path"], tuple(r["header"]), tuple(r["values"])) for r in whole.collect()}
-        assert len(by_line) == 3000
-        ordered = [r["values"][0] for r in rows.where("problem is null").orderBy("row").collect()]
-        assert ordered == [str(i) for i in range(3000)]
-        problems = rows.where("problem is not null").collect()
-        assert [(p["path"].split("/")[-1], p["problem"]) for p in problems] == [("wide.csv", LONG_ROW)]
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+def test_files_of_any_size_are_read_alike(spark, tmp_path):
+    """Quoted line breaks included, however small the pieces that a scan is cut into."""
+    (tmp_path / "big.csv").write_text("name,n\n" + "".join(f'"a\n{i}",{i}\n' for i in range(3000)))
+    found = []
+    for size in ("1m", "2000b"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = table_rows(read_documents(spark, [str(tmp_path)], r"\.csv$")).orderBy("row").collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        found.append([tuple(r["values"]) for r in rows])
+    assert found[0] == found[1] == [(f"a\n{i}", str(i)) for i in range(3000)]
+
+
+def test_quotes_count_at_the_start_of_a_cell_only(spark):
+    text = 'A 5" x,1\nB,2\n"C,""c""\nd",3\n"E"e,4\n\ue000\ue003,"5,\ue001"\n,6\n"open,7\n'
+    got = [v for _, _, v, _ in rows_of(spark, "a.csv", "k,v\n" + text)]
+    assert got == [["A 5\" x", "1"], ["B", "2"], ['C,"c"\nd', "3"], ["Ee", "4"], ["\ue000\ue003", "5,\ue001"], ["", "6"], ['"open', "7"]]
+
+
+def test_cells_are_those_of_pandas(spark):
+    for text in ('a,b\n1,"x,y"\n"2",z\n', 'a,b\n"p""q",\n,"r\ns"\n', 'a,b\n x "y" ,1\n5" pipe,2\n'):
+        want = pd.read_csv(StringIO(text), dtype=str, keep_default_na=False)
+        assert [v for _, _, v, _ in rows_of(spark, "a.csv", text)] == want.to_numpy().tolist()
+
+
+def test_lines_of_a_table(spark):
+    lines = spark.createDataFrame(
+        [("a.csv", 0, "x,y"), ("a.csv", 2, '"3,3",4'), ("a.csv", 1, "1,2"), ("b.csv", 0, "x"), ("b.csv", 1, "1,2")],
+        "path string, row long, line string")
+    got = sorted((r["path"], r["row"], r["values"], r["problem"]) for r in line_rows(lines).collect())
+    assert got == [("a.csv", 1, ["1", "2"], None), ("a.csv", 2, ["3,3", "4"], None), ("b.csv", 0, None, LONG_ROW)]
 
 
 def test_listing(spark, tmp_path):
