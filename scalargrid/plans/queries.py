@@ -6,6 +6,7 @@ decorator.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,8 @@ from scalargrid.operators import sidecars as side
 from scalargrid.operators.dictionary import data_dictionary
 from scalargrid.plans import inputs
 from scalargrid.plans.inputs import BUNDLE_RECORDS_SQL, SIDECARS_SQL, table
+from scalargrid.runtime import shared_dir
+from scalargrid.sources import sinks
 from scalargrid.sources.tables import line_rows, table_cells, table_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,15 +67,16 @@ def melt_scalars(spark, sf_dir):
 @query("""
     SELECT 'sub-' || p_partkey AS subject, CAST(1 AS BIGINT) AS row, CAST(c AS INTEGER) AS "column",
            CASE c WHEN 0 THEN 'part_name' WHEN 1 THEN 'note' WHEN 2 THEN 'size' ELSE 'size.1' END AS name,
-           CASE c WHEN 0 THEN p_name WHEN 1 THEN p_brand || ', "' || p_type || '"'
+           CASE c WHEN 0 THEN p_name || ' 5" ' || p_size
+                  WHEN 1 THEN p_brand || ', "' || p_type || '"' || chr(10) || chr(57344)
                   WHEN 2 THEN CAST(p_size AS VARCHAR) END AS cell
     FROM part, range(4) AS r(c)""")
 def quoted_cells(spark, sf_dir):
-    """Quotes, separators inside quotes, repeated names, short rows, CRLF."""
+    """Quoted separators and line breaks, stray quotes, repeated names, short rows, CRLF."""
     documents = table(spark, sf_dir, "part").selectExpr(
         "concat('sub-', p_partkey) as subject", "concat('/d/', p_partkey, '.csv') as path",
-        r'''concat('\ufeff Part Name ,note,size,size\r\n\r\n', p_name, ',"', p_brand, ', ""',
-                   p_type, '""",', p_size, '\r\n') as content''',
+        r'''concat('\ufeff Part Name ,note,size,size\r\n\r\n', p_name, ' 5" ', p_size, ',"', p_brand,
+                   ', ""', p_type, '""\n\ue000",', p_size, '\r\n') as content''',
     )
     return table_cells(table_rows(documents)).drop("path")
 
@@ -187,11 +191,12 @@ _GRID_SQL = f"""
       CROSS JOIN (SELECT DISTINCT 'ses-' || year(l_shipdate) AS session FROM lineitem)
       CROSS JOIN (SELECT DISTINCT bundle FROM kept) CROSS JOIN (SELECT DISTINCT scalar FROM kept)),
     long AS (
-      SELECT g.*, k.value, k.recon_suffix, k.subject IS NOT NULL AS scalar_present
+      SELECT g.*, k.value, k.recon_suffix, k.scalar_raw, k.bundle_source, k.is_shape_stat,
+             k.subject IS NOT NULL AS scalar_present
       FROM grid g LEFT JOIN kept k USING (subject, session, bundle, scalar))"""
 
 
-@query(f"{_GRID_SQL} SELECT * FROM long")
+@query(f"{_GRID_SQL} SELECT * EXCLUDE (scalar_raw, bundle_source, is_shape_stat) FROM long")
 def complete_grid(spark, sf_dir):
     """Every subject x session x bundle x scalar, gaps marked."""
     records = _bundle_records(spark, sf_dir, withhold=True).select(
@@ -200,7 +205,7 @@ def complete_grid(spark, sf_dir):
     return col.complete_grid(records, *inputs.cohort_axes(spark, sf_dir), closed=True)
 
 
-@query(f"{_GRID_SQL} SELECT * FROM long")
+@query(f"{_GRID_SQL} SELECT * EXCLUDE (scalar_raw, bundle_source, is_shape_stat) FROM long")
 def complete_grid_long_axes(spark, sf_dir):
     """The same grid when no axis is short enough to travel in the plan."""
     records = _bundle_records(spark, sf_dir, withhold=True).select(
@@ -489,6 +494,117 @@ def entity_values(spark, sf_dir):
     ])
 
 
+@query(f"""
+    WITH {_PATHS_SQL}
+    SELECT folder || 'f' || o_orderkey || name AS path, subject, session, source_type
+    FROM files JOIN (VALUES (0, '_model-noddi_param-od_dwimap.json', 'noddi'),
+                            (1, '_model-noddi_desc-modulated_param-icvf_dwimap.json', 'noddi'),
+                            (2, '_model-tensor_param-md_dwimap.json', 'tensor')) AS n(k, name, source_type)
+      ON o_orderkey % 4 = k
+    WHERE in_dwi""")
+def sidecar_files(spark, sf_dir):
+    """Model sidecars of all workflows, each path once however often it is listed."""
+    files = inputs.order_files(spark, sf_dir, """'f', o_orderkey, case o_orderkey % 4
+        when 0 then '_model-noddi_param-od_dwimap.json'
+        when 1 then '_model-noddi_desc-modulated_param-icvf_dwimap.json'
+        when 2 then '_model-tensor_param-md_dwimap.json' else '_model-noddi_param-fa_dwimap.json' end""")
+    located = inv.classify_files(_located(files.unionAll(files)))
+    return inv.pick_sidecar_files(located).select("path", "subject", "session", "source_type")
+
+
+@query("""
+    SELECT '/d/sub-top/' || CASE s_suppkey % 4 WHEN 0 THEN '' ELSE 'derivatives/qsirecon-' || s_suppkey || '/' END
+           || 'dataset_description.json' AS path,
+           CASE s_suppkey % 4 WHEN 0 THEN 'unknown' ELSE CAST(s_suppkey AS VARCHAR) END AS recon_suffix
+    FROM supplier WHERE s_suppkey % 4 <= 1""")
+def description_files(spark, sf_dir):
+    """Descriptions of data sets: outside of subject folders, below a root of any name."""
+    files = table(spark, sf_dir, "supplier").selectExpr(
+        """concat('/d/sub-top/', case s_suppkey % 4 when 0 then '' when 1 then concat('derivatives/qsirecon-', s_suppkey, '/')
+                  when 2 then concat('derivatives/qsirecon-', s_suppkey, '/sub-', s_suppkey, '/')
+                  else concat('sub-', s_suppkey, '/ses-1/') end, 'dataset_description.json') as path"""
+    )
+    return inv.pick_descriptions(inv.with_entities(files, "/d/sub-top")).select("path", "recon_suffix")
+
+
+@query("""
+    WITH o AS (SELECT o_orderkey AS i, 'sub-' || o_custkey AS subject, 'ses-' || year(o_orderdate) AS session FROM orders)
+    SELECT subject, session, kind, count(*) AS n_files FROM (
+      SELECT subject, session, 'qc_error' AS kind FROM o WHERE i % 3 = 0
+      UNION ALL SELECT subject, session, 'confounds_error' FROM o WHERE i % 3 = 1
+      UNION ALL SELECT subject, NULL, 'sessions_error' FROM o WHERE i % 5 = 0
+      UNION ALL SELECT subject, session, 'parse_error' FROM o WHERE i % 7 < 3
+      UNION ALL SELECT subject, session, 'dwimap_json_error' FROM o WHERE i % 2 = 0)
+    GROUP BY ALL""")
+def source_problems(spark, sf_dir):
+    """Unusable files of every kind become warnings: quality, motion, ages, layouts, JSON."""
+    def documents(content: str, name: str) -> DataFrame:
+        return table(spark, sf_dir, "orders").selectExpr(
+            "concat('sub-', o_custkey) as subject", "concat('ses-', year(o_orderdate)) as session",
+            "'W' as recon_suffix", "'tractometry' as source_type",
+            f"concat('/d/', o_orderkey, '{name}') as path", f"{content} as content",
+        )
+
+    wide_row = r"concat('framewise_displacement\n1', if({}, '\t2', ''), '\n')"
+    qc = table_rows(documents(wide_row.format("o_orderkey % 3 = 0"), "_desc-image_qc.tsv"))
+    motion = table_rows(documents(wide_row.format("o_orderkey % 3 = 1"), "_confounds.tsv"), "raw")
+    ages = table_rows(documents(r"if(o_orderkey % 5 = 0, '\n \n', 'age\n1\n')", "_sessions.tsv"), "lower")
+    tracts = table_rows(documents(
+        r"if(o_orderkey % 7 < 3, 'thing\n1\n', 'a_left,b_right\n1,2\n')", "_tractometry.csv"))
+    fields = side.sidecar_fields(documents("if(o_orderkey % 2 = 0, '[1', '{\"d_par\": 1.7}')", "_model-noddi_param-od_dwimap.json"))
+    found = log.union_events(
+        quality.unusable_files(qc, "qc"), quality.unusable_files(motion, "confounds"), meta.age_problems(ages),
+        rec.layout_problems(tracts), side.sidecar_problems(fields),
+    )
+    return found.groupBy("subject", "session", F.substring_index("message", ":", 1).alias("kind")).agg(
+        F.count("*").alias("n_files")
+    )
+
+
+@query("""
+    SELECT 'sub-' || o_custkey AS subject, 'ses-' || year(o_orderdate) AS session, o_orderstatus AS bundle,
+           'x' || o_orderkey AS scalar, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS value,
+           o_orderpriority AS note, format, true AS in_order
+    FROM orders, (VALUES ('csv'), ('parquet')) AS f(format)
+    UNION ALL
+    SELECT 'sub-' || o_custkey, 'ses-' || year(o_orderdate), NULL, NULL, NULL, max(o_orderpriority), 'log', true
+    FROM orders GROUP BY o_custkey, year(o_orderdate)
+    UNION ALL
+    SELECT NULL, NULL, NULL, 'x', NULL, 'Auto-documented column: x', 'dictionary', true""")
+def written_tables(spark, sf_dir):
+    """Sorted primary table as CSV and Parquet, dictionary and run log, written and read back."""
+    folder = f"{shared_dir(spark).rstrip('/')}/written-{uuid.uuid4().hex}"
+    records = table(spark, sf_dir, "orders").selectExpr(
+        "concat('sub-', o_custkey) as subject", "concat('ses-', year(o_orderdate)) as session",
+        "o_orderstatus as bundle", "concat('x', o_orderkey) as scalar",
+        "if(o_orderkey % 5 = 0, null, o_totalprice) as value", "o_orderpriority as note",
+    )
+    sinks.write_table(records, folder, parquet=True, sort=True)
+    sinks.write_data_dictionary(data_dictionary(spark.createDataFrame([], "x string")), folder)
+    sinks.write_run_log(
+        log.run_log(
+            log.file_events(records.withColumnRenamed("note", "path"), "qc"),
+            log.warning_events(1, records.limit(0).selectExpr("subject", "session", "note as path", "note as message")),
+        ), folder,
+    )
+    key = F.struct(*col.LONG_KEYS)
+    back = {"csv": sinks.read_table(records, folder), "parquet": spark.read.parquet(f"{folder}/{sinks.TABLE_NAME}.parquet")}
+    frames = []
+    for name, frame in back.items():
+        # Part files are in order: none begins before the one ahead of it ends.
+        parts = frame.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.min(key).alias("a"), F.max(key).alias("b"))
+        rows = sorted(map(tuple, parts.collect()))
+        ordered = all(one[2] <= two[1] for one, two in zip(rows, rows[1:]))
+        frames.append(frame.withColumns({"format": F.lit(name), "in_order": F.lit(ordered)}))
+    logged = spark.read.option("header", True).option("sep", "\t").csv(f"{folder}/{sinks.RUN_LOG_NAME}.tsv").selectExpr(
+        "subject", "session", "string(null) as bundle", "string(null) as scalar", "double(null) as value",
+        "qc_file as note", "'log' as format", "true as in_order")
+    listed = spark.read.option("header", True).csv(f"{folder}/{sinks.DICTIONARY_NAME}.csv").selectExpr(
+        "string(null) as subject", "string(null) as session", "string(null) as bundle", "column_name as scalar",
+        "double(null) as value", "description as note", "'dictionary' as format", "true as in_order")
+    return log.union_events(*frames, logged, listed)
+
+
 # Sidecars ---------------------------------------------------------------------
 
 
@@ -820,13 +936,6 @@ def data_dictionary_rows(spark, sf_dir):
 
 # All together -----------------------------------------------------------------
 
-_LONG_COLUMNS = (
-    *col.LONG_KEYS, "value", "scalar_present", "recon_suffix", "noddi_d_par", "noddi_d_par_flag",
-    "noddi_modulated_present", "qc_n_volumes", "qc_n_censored", "session_age_months",
-    "qsirecon_version",
-)
-
-
 def _session_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     motion = inputs.motion_lines(spark, sf_dir).withColumn(
         "session", F.expr("concat('ses-', 1995 + (row - 1) % 7)")
@@ -851,9 +960,11 @@ _COLLATED_SQL = f"""{_GRID_SQL}, {SIDECARS_SQL}, {_AGES_SQL}, {_VERSIONS_SQL},
       FROM events WHERE 'sub-' || user_id IN (SELECT DISTINCT 'sub-' || l_suppkey FROM lineitem)
         AND (1995 + event_id % 7) IN (SELECT DISTINCT year(l_shipdate) FROM lineitem) GROUP BY ALL),
     info AS (
-      SELECT g.subject, g.session, noddi_d_par,
-             coalesce(noddi_modulated_present, false) AS noddi_modulated_present,
-             qc_n_volumes, qc_n_censored, session_age_months,
+      SELECT g.subject, g.session, noddi_d_par, noddi_d_iso, noddi_sidecar_count, dti_fitting_method,
+             dti_sidecar_count, coalesce(noddi_modulated_present, false) AS noddi_modulated_present,
+             qc_n_volumes, qc_n_censored, round(qc_n_censored / qc_n_volumes, 6) AS qc_pct_censored,
+             CASE WHEN qc_n_volumes IS NOT NULL THEN 40.0::DOUBLE END AS qc_fd_threshold_used,
+             session_age_months,
              CASE WHEN noddi_d_par IS NULL THEN 'UNKNOWN:sidecar_missing'
                   WHEN abs(noddi_d_par - 50) < 1e-6 THEN 'OK:custom_d_par_matches_expected'
                   ELSE printf('WARN:unexpected_d_par:%.4f', noddi_d_par) END AS noddi_d_par_flag
@@ -863,16 +974,14 @@ _COLLATED_SQL = f"""{_GRID_SQL}, {SIDECARS_SQL}, {_AGES_SQL}, {_VERSIONS_SQL},
 
 
 @query(f"""{_COLLATED_SQL}
-    SELECT l.subject, l.session, bundle, scalar, value, scalar_present, recon_suffix, noddi_d_par,
-           noddi_d_par_flag, noddi_modulated_present, qc_n_volumes, qc_n_censored,
-           session_age_months, qsirecon_version
+    SELECT l.*, info.* EXCLUDE (subject, session), versions.*, CAST(NULL AS BIGINT) AS n_nodes
     FROM long l JOIN info USING (subject, session), versions""")
 def collated_long(spark, sf_dir):
     """The whole long table: grid, sidecars, quality, ages, flags, versions."""
     return col.collate(
         _bundle_records(spark, sf_dir, withhold=True), *inputs.cohort_axes(spark, sf_dir),
         _session_info(spark, sf_dir),
-    ).select(*_LONG_COLUMNS)
+    )
 
 
 @query(f"""{_COLLATED_SQL},
@@ -883,16 +992,13 @@ def collated_long(spark, sf_dir):
              max(value) FILTER (WHERE scalar = 'length_mean') AS length_mean,
              max(value) FILTER (WHERE scalar = 'qa_mean') AS qa_mean,
              max(value) FILTER (WHERE scalar = 'volume') AS volume,
-             max(recon_suffix) AS recon_suffix
+             max(recon_suffix) AS recon_suffix, max(bundle_source) AS bundle_source
       FROM long GROUP BY ALL)
-    SELECT w.*, noddi_d_par, noddi_d_par_flag, qc_n_volumes, session_age_months, qsirecon_version
+    SELECT w.*, info.* EXCLUDE (subject, session), versions.*, CAST(NULL AS BIGINT) AS n_nodes
     FROM wide w JOIN info USING (subject, session), versions""")
 def collated_wide(spark, sf_dir):
     """The whole wide table, a row for every subject x session x bundle."""
     return col.collate(
         _bundle_records(spark, sf_dir, withhold=True), *inputs.cohort_axes(spark, sf_dir),
         _session_info(spark, sf_dir), "wide",
-    ).select(
-        *col.BUNDLE_KEYS, "fa_mean", "fa_std", "length_mean", "qa_mean", "volume", "recon_suffix",
-        "noddi_d_par", "noddi_d_par_flag", "qc_n_volumes", "session_age_months", "qsirecon_version",
     )
