@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -27,9 +28,10 @@ from scalargrid.operators.sidecars import reduce_sidecars, sidecar_fields, sidec
 from scalargrid.runtime import remove_dir, shared_dir, stage
 from scalargrid.sources import files as src
 from scalargrid.sources import sinks
-from scalargrid.sources.patterns import QC_PATTERNS, SIDECAR_PATTERNS
+from scalargrid.sources.patterns import DATASET_DESCRIPTION, QC_PATTERNS, SIDECAR_PATTERNS
 from scalargrid.sources.tables import table_rows
 
+SESSIONS_TABLE = r"(?:^|_)sessions\.tsv$"
 SCALAR_FORMATS = ("long", "wide")
 MISSING_POLICIES = ("warn", "error", "ignore")
 
@@ -67,12 +69,11 @@ def _any_name(regexes: Sequence[str]) -> str:
 
 
 def _rows_of(
-    spark: SparkSession, globs: Sequence[str], name_regex: str, chosen: DataFrame,
+    texts: DataFrame, chosen: DataFrame,
     header_style: str = "snake", keep_empty: bool = False, first: int | None = None,
 ) -> DataFrame:
     """Row frame of the chosen files."""
-    documents = src.read_documents(spark, globs, name_regex).join(chosen, "path")
-    return table_rows(documents, header_style, keep_empty, first)
+    return table_rows(texts.join(chosen, "path"), header_style, keep_empty, first)
 
 
 def build(
@@ -117,6 +118,19 @@ def build(
         for name, (root, globs) in trees.items()
     ]
     found = stage(listed[0].unionByName(listed[1]), "inventory", work_dir)
+    # One scan per tree reads what any step may want; file by file they would be listed again.
+    wanted = {
+        "preproc": [SESSIONS_TABLE, *(p.scan_regex for p in QC_PATTERNS if include_qc)],
+        "recon": [p.scan_regex for p in (*(f.pattern for f in formats), *SIDECAR_PATTERNS)],
+    }
+    description = f"^{re.escape(DATASET_DESCRIPTION)}$"
+    texts = {
+        name: stage(
+            src.read_documents(spark, globs, _any_name([*wanted[name], description])),
+            f"{name}_texts", work_dir,
+        )
+        for name, (_, globs) in trees.items()
+    }
     inside = found.where(F.col("subject").isNotNull())
     preproc = inv.keep_labels(
         inv.resolve_sessions(inside.where(F.col("tree") == "preproc")), subjects, sessions
@@ -145,7 +159,7 @@ def build(
 
     # Scalar records.
     rows = stage(
-        _rows_of(spark, recon_globs, _any_name([p.scan_regex for p in patterns]), bundle_files),
+        _rows_of(texts["recon"], bundle_files),
         "rows", work_dir, partition_by="source_type",
     )
     records = stage(parse_bundles(rows, formats), "records", work_dir)
@@ -153,12 +167,7 @@ def build(
 
     # Model sidecars.
     fields = stage(
-        sidecar_fields(
-            src.read_documents(
-                spark, recon_globs, _any_name([p.scan_regex for p in SIDECAR_PATTERNS])
-            ).join(sidecar_files, "path")
-        ),
-        "sidecars", work_dir,
+        sidecar_fields(texts["recon"].join(sidecar_files, "path")), "sidecars", work_dir
     )
 
     # Quality control.
@@ -168,19 +177,19 @@ def build(
         qc_files = stage(
             inv.pick_qc_files(inv.classify_files(preproc, (), keep_others=True)), "qc_files", work_dir
         )
-        qc_table, unusable = _qc(spark, preproc_globs, qc_files, group_dir, fd_threshold, work_dir)
+        qc_table, unusable = _qc(spark, texts["preproc"], qc_files, group_dir, fd_threshold, work_dir)
 
     # Ages and versions.
     age_rows = stage(
         _rows_of(
-            spark, preproc_globs, r"(?:^|_)sessions\.tsv$",
-            inv.pick_age_files(inside.where(F.col("tree") == "preproc")), "lower",
+            texts["preproc"], inv.pick_age_files(inside.where(F.col("tree") == "preproc")), "lower"
         ),
         "age_rows", work_dir,
     )
-    descriptions = src.read_documents(
-        spark, [preproc_globs[-1], recon_globs[-1]]
-    ).join(inv.pick_descriptions(found).select("path", "tree"), "path")
+    described = inv.pick_descriptions(found).select("path", "tree")
+    descriptions = {
+        name: frame.join(described.where(F.col("tree") == name), "path") for name, frame in texts.items()
+    }
     session_info = stage(
         meta.add_versions(
             col.session_metadata(
@@ -188,8 +197,8 @@ def build(
                 reduce_sidecars(fields), qc_table, meta.session_ages(age_rows),
                 infant_threshold_months, expected_d_par,
             ),
-            descriptions.where(F.col("tree") == "preproc"),
-            descriptions.where(F.col("tree") == "recon"),
+            descriptions["preproc"],
+            descriptions["recon"],
         ),
         "sessions", work_dir,
     )
@@ -246,23 +255,18 @@ def build(
 
 
 def _qc(
-    spark: SparkSession, globs: Sequence[str], qc_files: DataFrame,
+    spark: SparkSession, texts: DataFrame, qc_files: DataFrame,
     group_dir: str | None, fd_threshold: float, work_dir: str,
 ) -> tuple[DataFrame, list[DataFrame]]:
     """One row per session that has any quality-control data, and what could not be used."""
-    regex = {
-        category: _any_name([p.scan_regex for p in QC_PATTERNS if p.category == category])
-        for category in ("image_qc", "confounds")
-    }
-
     def chosen(column: str) -> DataFrame:
         return qc_files.where(F.col(column).isNotNull()).select(
             *inv.SESSION_KEYS, F.col(column).alias("path")
         )
 
-    image_rows = stage(_rows_of(spark, globs, regex["image_qc"], chosen("qc_path"), first=1), "qc_rows", work_dir)
+    image_rows = stage(_rows_of(texts, chosen("qc_path"), first=1), "qc_rows", work_dir)
     confound_rows = stage(
-        _rows_of(spark, globs, regex["confounds"], chosen("confounds_path"), "raw", keep_empty=True),
+        _rows_of(texts, chosen("confounds_path"), "raw", keep_empty=True),
         "confound_rows", work_dir,
     )
     group = src.read_group_table(spark, group_dir) if group_dir else None

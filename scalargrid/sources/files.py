@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,46 +58,28 @@ def _file_path() -> Column:
 
 def _load(
     spark: SparkSession, fmt: str, globs: Sequence[str], name_regex: str | None, **options: str
-) -> list[DataFrame]:
-    """One frame per glob; a glob that names nothing is left out.
+) -> DataFrame | None:
+    """One frame over all globs that name anything, so each call lists the tree once.
 
-    Many folders behind one glob are listed by a Spark job, not by the driver
+    Many folders behind the globs are listed by a Spark job, not by the driver
     (``spark.sql.sources.parallelPartitionDiscovery.threshold``). Filters on
-    file name and size drop files while the scan is planned, before any is opened.
+    file names drop files while the scan is planned, before any is opened.
     """
-    frames = []
-    for glob in globs:
-        reader = spark.read.format(fmt).options(recursiveFileLookup="true", **options)
-        try:
-            frame = reader.load(glob)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        if name_regex:
-            frame = frame.where(F.col("_metadata.file_name").rlike(name_regex))
-        frames.append(frame)
-    return frames
-
-
-def _union(spark: SparkSession, frames: list[DataFrame], schema: str) -> DataFrame:
-    if not frames:
-        return spark.createDataFrame([], schema)
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+    found = [glob for glob in globs if path_exists(spark, glob)]
+    if not found:
+        return None
+    frame = spark.read.format(fmt).options(recursiveFileLookup="true", **options).load(found)
+    return frame.where(F.col("_metadata.file_name").rlike(name_regex)) if name_regex else frame
 
 
 def list_files(
     spark: SparkSession, globs: Sequence[str], name_regex: str | None = None
 ) -> DataFrame:
     """Inventory ``(path, file_size)``; file contents are not read."""
-    frames = [
-        df.select(_file_path().alias("path"), F.col("_metadata.file_size").alias("file_size"))
-        for df in _load(spark, "binaryFile", globs, name_regex)
-    ]
-    return _union(spark, frames, "path string, file_size long")
+    frame = _load(spark, "binaryFile", globs, name_regex)
+    if frame is None:
+        return spark.createDataFrame([], "path string, file_size long")
+    return frame.select(_file_path().alias("path"), F.col("_metadata.file_size").alias("file_size"))
 
 
 def read_documents(
@@ -108,11 +89,10 @@ def read_documents(
 
     A quoted cell may hold line breaks, so only a whole file can be cut into records.
     """
-    frames = [
-        df.select(_file_path().alias("path"), F.col("value").alias("content"))
-        for df in _load(spark, "text", globs, name_regex, wholetext="true")
-    ]
-    return _union(spark, frames, "path string, content string")
+    frame = _load(spark, "text", globs, name_regex, wholetext="true")
+    if frame is None:
+        return spark.createDataFrame([], "path string, content string")
+    return frame.select(_file_path().alias("path"), F.col("value").alias("content"))
 
 
 def plain_root(spark: SparkSession, root: str) -> str:

@@ -9,6 +9,7 @@ from conftest import ALL_VISITS, TRACTS, VISITS, anisotropy, delimited, visits,
 from scalargrid import build, run
 from scalargrid.operators.dictionary import DICTIONARY_COLUMNS, data_dictionary
 from scalargrid.operators import runlog as log
+from scalargrid.sources import files
 from scalargrid.streaming.landing import land_rows, stream_documents
 
 
@@ -110,6 +111,15 @@ def test_write_and_read_back(spark, tree, tmp_path):
     assert spark.read.option("header", True).csv(f"{out}/data_dictionary.csv").count() == len(table.columns)
 
 
+def test_every_tree_is_listed_twice_at_most(spark, tree, monkeypatch):
+    """Once for the inventory, once for all contents."""
+    loads = []
+    load = files._load
+    monkeypatch.setattr(files, "_load", lambda *a, **b: loads.append(a[2]) or load(*a, **b))
+    build(spark, *tree)
+    assert len(loads) == 4 and len({tuple(g) for g in loads}) == 2
+
+
 def test_run_leaves_no_intermediate_tables(spark, tree, tmp_path):
     shared = spark.conf.get("spark.checkpoint.dir")
     before = set(os.listdir(shared))
