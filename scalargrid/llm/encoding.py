@@ -58,7 +58,7 @@ class ChunkEncoder(dict):
     behind it. Otherwise white space only separates, and letters are lower-cased.
     """
 
-    def __init__(self, path: str, spaced: bool, keep: int = 900_000) -> None:
+    def __init__(self, path: str, spaced: bool, keep: int = 500_000) -> None:
         from tokenizers import Tokenizer
 
         assert array("I").itemsize == 4

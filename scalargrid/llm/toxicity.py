@@ -40,7 +40,7 @@ WINDOWS_EACH = 3
 GRAMS = (4, 5, 6)
 BUCKETS = 1 << 20
 INPUTS = 8
-_KEEP_WORDS = 700_000
+_KEEP_WORDS = 300_000
 _CHUNK_WORDS = 200_000
 _WORD = re.compile(rf"[^\W\d_]{{1,{WORD_LETTERS}}}")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
