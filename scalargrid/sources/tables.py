@@ -26,6 +26,9 @@ _RECORD = rf"{_CELL}(?:{{mark}}{_CELL})*+(?:\\r\\n|\\n|\\r|\\z)"
 _QUOTED = r'(?s)^"((?:[^"]|"")*+)"(.*)$'
 _MARK = r"if(endswith(path, '.tsv'), '\t', ',')"
 
+# Parts that the lines of one path are dealt into.
+PATH_PARTS = 8
+
 _STYLES = {
     "snake": r"translate(lower(btrim(c, ' \t\r\n')), ' ', '_')",
     "lower": r"lower(btrim(c, ' \t\r\n'))",
@@ -131,8 +134,10 @@ def line_rows(lines: DataFrame, header_style: str = "snake") -> DataFrame:
     """Row frame from records in lines of their own ``(path, row, line, ...)``.
 
     For tables that arrive line by line; files are read by ``table_rows``. Row 0 of a path is its
-    header. Header and widest row come from one aggregate that combines before the shuffle, and
-    meet the lines again by path; paths are few, so Spark mostly sends them to the lines.
+    header. Header and widest row come from one aggregate that combines before the shuffle. They
+    meet the lines again by path and part: the lines of a path are dealt into ``PATH_PARTS`` parts,
+    so a path with most lines is no single task, and what is summed up by path afterwards combines
+    before it is shuffled.
     """
     others = [c for c in lines.columns if c not in ("row", "line")]
     lines = lines.selectExpr(*others, "row", rf"rtrim('\r', {_without_bom('line')}) as line").where(
@@ -149,11 +154,14 @@ def line_rows(lines: DataFrame, header_style: str = "snake") -> DataFrame:
             f"{_named(_cells('_head'))} as _named",
             f"if(_widest > {_width('_head')}, '{LONG_ROW}', null) as problem",
         )
-        .selectExpr("path", f"{_column_names('_named', header_style)} as header", "problem")
+        .selectExpr(
+            "path", f"{_column_names('_named', header_style)} as header", "problem",
+            f"explode(sequence(0L, {PATH_PARTS - 1}L)) as _part",
+        )
     )
     # Of an unusable file only the header line stays, to carry the problem.
     return (
-        lines.join(heads, "path")
+        lines.withColumn("_part", F.expr(f"pmod(row, {PATH_PARTS}L)")).join(heads, ["path", "_part"])
         .where("if(problem is null, row > 0, row = 0)")
         .selectExpr(
             *others, "row",

@@ -101,6 +101,20 @@ def test_lines_of_a_table(spark):
     assert got == [("a.csv", 1, ["1", "2"], None), ("a.csv", 2, ["3,3", "4"], None), ("b.csv", 0, None, LONG_ROW)]
 
 
+def test_no_task_owns_the_lines_of_a_path(spark):
+    """Lines meet their header by path and part, and sums by path combine before the shuffle."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = spark.range(1000).selectExpr("'hot.csv' as path", "id as row", "if(id = 0, 'x,y', '1,2') as line")
+        rows = line_rows(lines)
+        assert rows.count() == 999
+        plan = rows.groupBy("path").count()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above, below = plan.split("SortMergeJoin", 1)
+    assert "partial_count" in above and "Exchange" in above, plan
+
+
 def test_listing(spark, tmp_path):
     (tmp_path / "a b").mkdir()
     (tmp_path / "a b" / "x+1.csv").write_text("1")
