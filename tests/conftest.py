@@ -1,27 +1,11 @@
-"""A local session and a derivative tree made for these tests.
-
-The study lies in a folder named like that of a subject. Its three subjects came to different
-sessions. One workflow (TRACK) has a table of bundle means per session; another (ALONG) has an
-along-tract profile of one session whose mean has the same key as a bundle mean; a third (MODEL)
-has model sidecars only, with another diffusivity at each session. A work folder inside a ``dwi``
-folder is named like a subject as well.
-"""
+"""A local session, and the tree of derivatives in a fresh folder."""
 
 from __future__ import annotations
 
-import json
-from pathlib import Path
-
 import pytest
 from pyspark.sql import SparkSession
 
-VISITS = {"sub-A1": ("base", "mid", "late"), "sub-B2": ("base",), "sub-C3": ("mid", "late")}
-ALL_VISITS = ("base", "late", "mid")
-TRACTS = ("Arc_left", "Arc_right", "Cing mid")
-DIFFUSIVITY = {"base": 1.7, "mid": 1.4, "late": 1.7}
-AGES = {"sub-A1": {"base": 4, "mid": 20, "late": 41}, "sub-B2": {"base": 15}}
-MOTION = {"base": (0.1, 0.7, "n/a", 0.9), "mid": (0.05, 0.5), "late": (0.61,)}
-PROFILE = ((1.0, 4.0), (2.0, 4.0), (6.0, 7.0))  # nodes of the two arcs
+from cohort import build_tree
 
 
 @pytest.fixture(scope="session")
@@ -41,62 +25,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def write(path: Path, text: str) -> Path:
-    path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text(text, encoding="utf-8")
-    return path
-
-
-def delimited(rows, sep="\t") -> str:
-    return "".join(sep.join(str(c) for c in row) + "\n" for row in rows)
-
-
-def visits():
-    return [(subject, visit) for subject, seen in VISITS.items() for visit in seen]
-
-
-def anisotropy(subject: str, visit: str, tract: str) -> float:
-    """A value of its own for every cell; the unit is of no matter here."""
-    return 10 * (1 + list(VISITS).index(subject)) + 3 * ALL_VISITS.index(visit) + TRACTS.index(tract) + 0.25
-
-
-def write_quality(folder: Path, visit: str) -> None:
-    # Two of three visits have the newer names, one the older ones.
-    newer = visit != "mid"
-    shift = 0.01 * ALL_VISITS.index(visit)
-    text = delimited([("subject", "mean_fd", "neighbor_corr"), ("x", round(0.2 + shift, 2), round(0.5 + shift, 2))], "\t" if newer else ",")
-    write(folder / ("run_desc-image_qc.tsv" if newer else "run_desc-ImageQC_dwi.csv"), text)
-    steps = [("rot_z", "framewise_displacement"), *((0, d) for d in MOTION[visit])]
-    write(folder / ("run_desc-confounds_timeseries.tsv" if newer else "run_confounds.tsv"), delimited(steps))
-
-
-def build_tree(root: Path) -> tuple[str, str, str]:
-    study = root / "sub-study"
-    flows = study / "recon" / "derivatives"
-    write(study / "prep" / "dataset_description.json", json.dumps({"GeneratedBy": [{"Name": "p", "Version": "0.9.3"}]}))
-    write(flows / "qsirecon-TRACK" / "dataset_description.json", json.dumps({"GeneratedBy": [{"Name": "r", "Version": "2.4.0"}]}))
-    for subject, ages in AGES.items():
-        write(study / "prep" / subject / "sessions.tsv", delimited([("age", "ses"), *((a, v) for v, a in ages.items())]))
-    for subject, visit in visits():
-        inside = Path(subject) / f"ses-{visit}" / "dwi"
-        write_quality(study / "prep" / inside, visit)
-        table = [("mean_fa", "bundle_name", "mean_md")]
-        table += [(anisotropy(subject, visit, t), t, -anisotropy(subject, visit, t)) for t in TRACTS]
-        write(flows / "qsirecon-TRACK" / inside / "all_bundle_means.tsv", delimited(table))
-        if subject == "sub-A1":
-            model = {"d_par": DIFFUSIVITY[visit], "IsotropicDiffusivity": 2.5}
-            write(flows / "qsirecon-MODEL" / inside / "m_model-noddi_param-od_dwimap.json", json.dumps(model))
-    first = Path("sub-A1") / "ses-base" / "dwi"
-    nodes = [("", *TRACTS[:2]), *((i, *values) for i, values in enumerate(PROFILE))]
-    write(flows / "qsirecon-ALONG" / first / "Tractometry_FA.csv", delimited(nodes, ","))
-    write(flows / "qsirecon-TRACK" / first / "sub-A1_work" / "old_bundle_means.tsv", "bundle_name\tmean_fa\nghost\t1\n")
-    write(
-        study / "group" / "dwi_group.tsv",
-        delimited([("bids_name", "session_id", "efc", "row"), ("sub-C3_late", "late", 7, "two"), ("sub-C3_mid", "mid", 5, "one")]),
-    )
-    return str(study / "prep"), str(study / "recon"), str(study / "group")
-
-
 @pytest.fixture(scope="session")
 def tree(tmp_path_factory):
     return build_tree(tmp_path_factory.mktemp("tree"))

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from conftest import ALL_VISITS, TRACTS, VISITS, anisotropy, delimited, visits, write
+from cohort import ALL_VISITS, TRACTS, VISITS, anisotropy, delimited, visits, write
 from scalargrid import build, run
 from scalargrid.operators.dictionary import DICTIONARY_COLUMNS, data_dictionary
 from scalargrid.operators import runlog as log
