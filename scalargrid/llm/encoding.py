@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Sequence
 from functools import lru_cache
 from itertools import islice
 
+# Chunks remembered per Python worker, about 200 bytes each, with half as many pieces.
+KEEP_CHUNKS = 900_000
+
 # Unicode White_Space, as the tokenizers' own patterns understand \s.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 # A space goes with the word behind it; of a longer run of white space the last character stays apart.
@@ -58,7 +60,7 @@ class ChunkEncoder(dict):
     behind it. Otherwise white space only separates, and letters are lower-cased.
     """
 
-    def __init__(self, path: str, spaced: bool, keep: int = 500_000) -> None:
+    def __init__(self, path: str, spaced: bool, keep: int = KEEP_CHUNKS) -> None:
         from tokenizers import Tokenizer
 
         assert array("I").itemsize == 4
@@ -86,11 +88,7 @@ class ChunkEncoder(dict):
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, spaced: bool) -> ChunkEncoder:
+def encoder(path: str, spaced: bool, keep: int = KEEP_CHUNKS) -> ChunkEncoder:
     """One encoder per Python worker and vocabulary."""
-    return ChunkEncoder(path, spaced)
-
+    return ChunkEncoder(path, spaced, keep)
 
-def encode_all(path: str, spaced: bool, texts: Sequence[str | None]) -> list[bytes]:
-    one = encoder(path, spaced).encode
-    return [one(t or "") for t in texts]

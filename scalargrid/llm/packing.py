@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scalargrid.llm.common import documents, stage
-from scalargrid.llm.encoding import encoder
+from scalargrid.llm.encoding import KEEP_CHUNKS, encoder
 
 MAX_TOKENS = 2048
 MAX_DOCUMENTS = 2048
@@ -39,12 +39,14 @@ _PIECE = "doc_id long, copy long, piece int, start long, length long, ids_crc32
 _PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
-def pieces(docs: DataFrame, vocabulary: str, end_id: int = END_ID, limit: int = MAX_TOKENS) -> DataFrame:
+def pieces(
+    docs: DataFrame, vocabulary: str, end_id: int = END_ID, limit: int = MAX_TOKENS, keep: int = KEEP_CHUNKS
+) -> DataFrame:
     """One row per piece; ``copy`` tells rows apart that repeat a ``doc_id``."""
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary, True).encode
+        encode = encoder(vocabulary, True, keep).encode
         for batch in batches:
             out: list[tuple] = []
             for doc, copy, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
@@ -130,11 +132,11 @@ def pack(
     return cut.withColumn("pack_group", group).groupBy("pack_group").applyInPandas(fill, _PACKED)
 
 
-def packed(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+def packed(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None, keep: int = KEEP_CHUNKS) -> DataFrame:
     """Cut and pack ``docs``; pieces are staged, so that texts are tokenised once."""
     import public_tokenizers
 
-    cut = stage(pieces(docs, vocabulary or public_tokenizers.path("byte_bpe_50k.json")), "pieces")
+    cut = stage(pieces(docs, vocabulary or public_tokenizers.path("byte_bpe_50k.json"), keep=keep), "pieces")
     return pack(cut)
 
 
