@@ -12,6 +12,10 @@ from scalargrid.llm.common import documents, table
 from scalargrid.runtime import shared_dir
 
 
+# Chunks of text that a Python worker remembers while it tokenises; workers have served other stages before.
+KEEP_CHUNKS = 500_000
+
+
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic; it learns from ``labels`` of the given documents."""
     columns = docs.columns
@@ -37,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents and their places in training sequences."""
-    return packing.packed(spark, docs)
+    return packing.packed(spark, docs, keep=KEEP_CHUNKS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
