@@ -4,7 +4,7 @@ A tokenizer that never merges across white space gives the same ids for a text a
 chunks in turn. Chunks are mostly words with marks and repeat, so each Python worker remembers
 their ids. A chunk of common letters, digits and marks is put together from its pieces, which
 repeat even more; their ids come from the model of the tokenizer library. Any other chunk goes
-whole through the library.
+whole through the library, and so does a text that holds an added token such as ``<|endoftext|>``.
 """
 
 from __future__ import annotations
@@ -65,7 +65,9 @@ class ChunkEncoder(dict):
 
         assert array("I").itemsize == 4
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self._added = [t.content for t in added]
+        self._whole = any(t.normalized for t in added)  # such tokens may stand in a text in other forms
         self._spaced, self._keep = spaced, keep
         self._pieces = _Pieces(self._tokenizer, not spaced, keep // 2)
         self._split = re.compile(
@@ -76,13 +78,18 @@ class ChunkEncoder(dict):
         if _PLAIN.fullmatch(chunk):
             ids = b"".join(map(self._pieces.__getitem__, self._split(chunk)))
         else:
-            ids = array("I", self._tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+            ids = self._by_library(chunk)
         if len(self) >= self._keep:
             _halve(self)
         self[chunk] = ids
         return ids
 
+    def _by_library(self, text: str) -> bytes:
+        return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
     def encode(self, text: str) -> bytes:
+        if self._whole or any(content in text for content in self._added):
+            return self._by_library(text)
         chunks = _SPACED.findall(text) if self._spaced else text.replace("\n", " ").split(" ")
         return b"".join(map(self.__getitem__, chunks))
 
