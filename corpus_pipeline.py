@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scalargrid.llm import exact_dedup, mixing, packing, simhash, toxicity
+from scalargrid.llm import exact_dedup, mixing, near_copies, packing, toxicity
 from scalargrid.llm.common import documents, table
 from scalargrid.runtime import shared_dir
 
@@ -30,8 +30,8 @@ def exact_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of linked fingerprints."""
-    return simhash.without_near_copies(docs)
+    """One document of each component of texts whose five-word shingles are similar by 0.8 or more."""
+    return near_copies.without_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,3 +49,25 @@ def codeword_keys(bits: int) -> tuple[np.ndarray, np.ndarray]:
     far = fours[syndrome]
     away = np.where(far > 0, ((values[:, None] ^ far) >> 11).astype(np.int32), -1)
     return near.astype(np.int32), away.astype(np.int32)
+
+
+@lru_cache(maxsize=1)
+def _syndromes() -> tuple[np.ndarray, np.ndarray]:
+    """Syndromes of the low 12 and of the high 11 bits."""
+    tables = []
+    for start, bits in ((0, 12), (12, 11)):
+        table = np.array([0], dtype=np.uint32)
+        for i in range(bits):
+            table = np.concatenate([table, table ^ np.uint32(_syndrome(1 << start + i))])
+        tables.append(table)
+    return tables[0], tables[1]
+
+
+def nearest(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For words of 23 bits: index of the nearest codeword; indices of those 4 bits away, or -1."""
+    leaders, fours = _cosets()
+    low, high = _syndromes()
+    syndrome = low[values & 4095] ^ high[values >> 12]
+    near = (values ^ leaders[syndrome]) >> 11
+    far = fours[syndrome]
+    return near.astype(np.int32), np.where(far > 0, ((values[:, None] ^ far) >> 11).astype(np.int32), -1)
