@@ -15,9 +15,8 @@ How reliable each labeler is follows from expectation-maximisation over the coun
 patterns per kind, starting from the majority. The posteriors then train the final classifier, a
 logistic regression on votes and shape, by the same counts: there are at most a few thousand
 different patterns, so both run on one small table, however large the corpus. A candidate that is
-no base span is added if the classifier gives it ``ACCEPT`` or more, two labelers at least speak
-for it and none against, and, but for addresses, the context does; it must not overlap a base span
-or an earlier addition.
+no base span is added if the classifier gives it ``ACCEPT`` or more and at least ``NEEDED`` labelers
+speak for it and none against; it must not overlap a base span or an earlier addition.
 
 Offsets come from running sums over the pieces between matches, so they cost one pass. Texts
 without a digit or ``@`` (and without a spelled-out one) have no spans and are not searched.
@@ -42,6 +41,8 @@ from scalargrid.llm.common import documents, stage
 KINDS = ("email", "ip", "card", "phone")
 CONTEXT = 40
 ACCEPT = 0.9
+NEEDED = {"email": 2, "ip": 2, "card": 3, "phone": 2}
+_BACK = 8  # a match has 5 characters or more, so so many before one reach back over CONTEXT
 LABELERS = ("regex", "gazetteer", "context", "border")
 
 # Equal to the plain patterns: repeats are possessive where what follows cannot give back, and a
@@ -55,7 +56,7 @@ BASE = {
 WIDE = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++(?:\x20?(?:@|\(at\)|\[at\])\x20?)[A-Za-z0-9-]++(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9.]))[0-9]{1,3}+(?:(?:\.|\[\.\]|\(\.\))[0-9]{1,3}+){3}(?![0-9])",
-    "card": r"(?:\G|(?<![0-9]))[0-9]{3,6}+(?:[\x20./-]?[0-9]{3,7}+){2,4}(?![0-9])",
+    "card": r"(?:\G|(?<![0-9]))(?:[0-9]{3,6}+(?:[\x20./-]?[0-9]{3,7}+){2,4}|[0-9]{13,15}+)(?![0-9])",
     "phone": r"(?:\G|(?<![0-9+]))(?:\+|00)?\(?[0-9]{1,5}+(?:[\x20./()-]{1,3}+[0-9]{2,5}+){2,5}(?![0-9])",
 }
 # What labelers know.
@@ -101,15 +102,25 @@ def _pieces(kind: str, pattern: str, base: bool) -> Column:
     """Matches in order, each with the length of what lies before it and what stands around it."""
     text = F.col("text")
     gaps = F.split(text, pattern, -1)
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+    def before(gap: Column, i: Column) -> Column:
+        """The text before a match, through earlier matches."""
+        first = F.greatest(i - _BACK, F.lit(0)) + 1
+        earlier = F.zip_with(F.slice(gaps, first, F.least(i, F.lit(_BACK))), F.slice(matches, first, F.least(i, F.lit(_BACK))),
+                             lambda g, m: F.concat(F.right(g, F.lit(CONTEXT)), F.right(m, F.lit(CONTEXT))))
+        return F.right(F.concat(F.array_join(earlier, ""), F.right(gap, F.lit(CONTEXT))), F.lit(CONTEXT))
+
     # The piece after the last match has no match of its own and is dropped later.
     zipped = F.arrays_zip(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"),
-        F.transform(gaps, lambda g: F.struct(F.length(g).alias("n"), F.right(g, F.lit(CONTEXT)).alias("left"))).alias("gap"),
+        matches.alias("match"),
+        F.transform(gaps, lambda g, i: F.struct(
+            F.length(g).alias("n"), F.right(g, F.lit(1)).alias("left"), (F.lit("") if base else before(g, i)).alias("before"))).alias("gap"),
         F.slice(F.transform(gaps, lambda g: F.left(g, F.lit(1))), 2, 2_000_000_000).alias("right"),
     )
     part = F.transform(zipped, lambda z, i: F.struct(
         F.lit(kind).alias("kind"), F.lit(base).alias("base"), i.alias("place"), z["match"].alias("match"),
-        z["gap"]["n"].alias("gap"), z["gap"]["left"].alias("left"), z["right"].alias("right")))
+        z["gap"]["n"].alias("gap"), z["gap"]["left"].alias("left"), z["gap"]["before"].alias("before"), z["right"].alias("right")))
     return F.filter(part, lambda z: z["match"].isNotNull())
 
 
@@ -140,7 +151,7 @@ def voted(spans: DataFrame) -> DataFrame:
     """Candidates with a vote per labeler and a shape."""
     kind, text = F.col("kind"), F.col("match")
     plain = F.regexp_replace(F.regexp_replace(text, r"\x20?[\[(]at[\])]\x20?", "@"), r"\x20?[\[(](?:dot|\.)[\])]\x20?", ".")
-    digits, left = _digits(text), F.lower("left")
+    digits, left = _digits(text), F.lower("before")
     strict = F.lit(False)
     for k, pattern in BASE.items():
         strict = F.when(kind == k, F.regexp_like(text, F.lit(f"^(?:{pattern})$"))).otherwise(strict)
@@ -239,7 +250,7 @@ def accepted(candidates: DataFrame) -> list[Pattern]:
     chances = classifier(counts, reliabilities(counts))
     return sorted(
         p for p, chance in chances.items()
-        if chance >= ACCEPT and sum(v > 0 for v in p[1]) >= 2 and min(p[1]) >= 0 and (p[1][2] > 0 or p[0] == "email")
+        if chance >= ACCEPT and sum(v > 0 for v in p[1]) >= NEEDED[p[0]] and min(p[1]) >= 0
     )
 
 
