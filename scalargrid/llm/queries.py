@@ -7,6 +7,7 @@ from scalargrid.llm.exact_dedup import op10_exact_dedup
 from scalargrid.llm.language import op3_rank_order_language
 from scalargrid.llm.mixing import op7_temperature_mixing
 from scalargrid.llm.packing import op6_best_fit_packing
+from scalargrid.llm.periodic import op13_periodic_runs
 from scalargrid.llm.privacy import op1_weak_privacy
 from scalargrid.llm.sharding import op9_hash_ring
 from scalargrid.llm.simhash import op5_simhash_golay
@@ -25,5 +26,6 @@ QUERIES = {
     "op8_gru_toxicity": op8_gru_toxicity,
     "op9_hash_ring": op9_hash_ring,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLES: dict[str, str] = {"op10_exact_dedup": exact_dedup.ORACLE_SQL}

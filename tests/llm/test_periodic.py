@@ -1,0 +1,108 @@
+"""Periodic runs against a plain search over all periods."""
+
+from __future__ import annotations
+
+import hashlib
+from fractions import Fraction
+from zlib import crc32
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from llm_rows import EDGE, LONG, odd_rows
+from scalargrid.llm import periodic
+
+
+def plain_runs(words, min_words=24, min_repeats=3):
+    n, found = len(words), {}
+    for q in range(1, n // min_repeats + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(min_words, min_repeats * q):
+                found.setdefault((i, j + q), q)
+            i = max(j, i + 1) if j > i else i + 1
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def by_operator(words):
+    codes = np.unique(np.array(words), return_inverse=True)[1].astype(np.int64) if len(words) else np.empty(0, np.int64)
+    found = []
+    for first, end in periodic.split_by_frequency(codes, np.zeros(len(codes), np.int64)):
+        found += [(first + s, n, q) for s, n, q in periodic.lag_scan(codes[first:end])]
+    return found
+
+
+def changed_words(doc_id, words):
+    h = 1 if doc_id is None else crc32(str(doc_id).encode())
+    if h % 10 == 0 and words:
+        n, g = len(words), h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        return [words[a + (i - a) % p] if i >= a else words[i] for i in range(n)]
+    return words
+
+
+def expected(doc_id, text):
+    words = changed_words(doc_id, (text or "").encode().split())
+    runs = plain_runs(words)
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=(None, None, None))
+    out = {i for s, n, q in runs for i in range(s + q, s + n)}
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    return (len(runs), *best, best[0] if best[0] is None else 1000 * best[1] // best[2],
+            sha("".join(f"{s},{n},{q}\n" for s, n, q in runs).encode()), sha(b" ".join(w for i, w in enumerate(words) if i not in out)))
+
+
+PIECES = st.lists(
+    st.one_of(
+        st.lists(st.integers(0, 3), min_size=1, max_size=40),
+        st.tuples(st.lists(st.integers(0, 5), min_size=1, max_size=12), st.integers(2, 15)).map(lambda x: x[0] * x[1]),
+        st.lists(st.integers(0, 50), min_size=1, max_size=30),
+    ),
+    max_size=6,
+)
+
+
+@settings(max_examples=400, deadline=None)
+@given(PIECES)
+def test_against_all_periods(pieces):
+    words = [w for piece in pieces for w in piece]
+    assert by_operator(words) == plain_runs(words)
+
+
+def test_long_runs_and_many_runs():
+    rng = np.random.default_rng(5)
+    for period, repeats in ((1, 3000), (7, 400), (900, 4), (13, 90)):
+        unit = rng.integers(0, 9, period).tolist()
+        words = [50, 51, *(unit * repeats), 52, *(unit[::-1] * repeats), 53]
+        assert by_operator(words) == plain_runs(words)
+    many = [w for i in range(300) for w in [i % 7] * 24]
+    assert by_operator(many) == plain_runs(many)
+
+
+def test_cost_of_long_repetitive_texts_is_near_linear():
+    # 300,000 words: a scan of all lags over all places would take 3e10 comparisons.
+    assert by_operator(["a"] * 300_000) == [(0, 300_000, 1)]
+    words = np.random.default_rng(1).integers(0, 300, 300_000)
+    assert by_operator(words) == []
+
+
+def test_query_on_odd_rows(spark, edge_dir):
+    rows = periodic.op13_periodic_runs(spark, edge_dir).collect()
+    assert odd_rows(r["doc_id"] for r in rows) == odd_rows(r[0] for r in EDGE)
+    got = sorted(str(tuple(r)[:8]) for r in rows if r["doc_id"] not in (7, 8))
+    assert got == sorted(str((i, *expected(i, t))) for i, t, *_ in EDGE if i not in (7, 8))
+    assert {r["n_words"] for r in rows if r["doc_id"] == 7} == {len(LONG.split())}
+
+
+def test_query_on_documents(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    docs = [d for d in docs if len((d["text"] or "").split()) < 1500]
+    got = {r["doc_id"]: tuple(r)[1:8] for r in periodic.op13_periodic_runs(spark, folder).collect()}
+    assert len(docs) > 150 and any(got[d["doc_id"]][0] for d in docs)
+    for d in docs:
+        assert got[d["doc_id"]] == expected(*d), d["doc_id"]
