@@ -14,6 +14,7 @@ from scalargrid.llm.simhash import op5_simhash_golay
 from scalargrid.llm.sketches import op2_bottom_k
 from scalargrid.llm.token_files import op4_token_files
 from scalargrid.llm.toxicity import op8_gru_toxicity
+from scalargrid.llm.whitening import op11_chebyshev_whitening
 
 QUERIES = {
     "op1_weak_privacy": op1_weak_privacy,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_gru_toxicity": op8_gru_toxicity,
     "op9_hash_ring": op9_hash_ring,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_chebyshev_whitening": op11_chebyshev_whitening,
     "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLES: dict[str, str] = {"op10_exact_dedup": exact_dedup.ORACLE_SQL}
