@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from scalargrid.llm import exact_dedup
+from scalargrid.llm import exact_dedup, licenses
 from scalargrid.llm.exact_dedup import op10_exact_dedup
 from scalargrid.llm.language import op3_rank_order_language
+from scalargrid.llm.licenses import op12_rare_word_licences
 from scalargrid.llm.mixing import op7_temperature_mixing
 from scalargrid.llm.packing import op6_best_fit_packing
 from scalargrid.llm.periodic import op13_periodic_runs
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_hash_ring": op9_hash_ring,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_chebyshev_whitening": op11_chebyshev_whitening,
+    "op12_rare_word_licences": op12_rare_word_licences,
     "op13_periodic_runs": op13_periodic_runs,
 }
-ORACLES: dict[str, str] = {"op10_exact_dedup": exact_dedup.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op10_exact_dedup": exact_dedup.ORACLE_SQL, "op12_rare_word_licences": licenses.ORACLE_SQL}
