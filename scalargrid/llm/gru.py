@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
+from scalargrid.llm.word_inputs import WordInputs
+
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1.0 + np.tanh(0.5 * x))
@@ -72,8 +74,8 @@ class Gru:
             kept |= {"both": both, "look": look, "share": share, "pooled": pooled}
         return pooled @ w["o"] + w["d"][0]
 
-    def gradients(self, words: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Weighted mean cross-entropy and its gradients, back through time."""
+    def gradients(self, words: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
+        """Weighted mean cross-entropy, its gradients back through time, and its gradient at the word vectors."""
         w, h, kept = self.weights, self.hidden, {}
         logit = self.forward(words, kept)
         p = _sigmoid(logit)
@@ -90,6 +92,7 @@ class Gru:
         to_look = to_score[:, :, None] * w["v"] * (1 - look**2)
         g["A"], g["a"] = np.einsum("tni,tnj->ij", both, to_look), to_look.sum(axis=(0, 1))
         grad = grad + to_look @ w["A"].T
+        to_words = np.zeros_like(words)
         for side, part in (("f", grad[:, :, :h]), ("b", grad[:, :, h:])):
             u = w[f"U{side}"]
             to_x = np.empty((*words.shape[:2], 3 * h), np.float32)
@@ -105,19 +108,30 @@ class Gru:
                 g[f"U{side}"] += state.T @ to_own
                 later = total * update + to_own @ u.T
             g[f"W{side}"], g[f"c{side}"] = np.einsum("tni,tnj->ij", words, to_x), to_x.sum(axis=(0, 1))
-        return loss, g
+            to_words += to_x @ w[f"W{side}"].T
+        return loss, g, to_words
+
+    def fit(self, words: np.ndarray, labels: np.ndarray, weight: np.ndarray, learned: WordInputs, tokens: np.ndarray,
+            epochs: int = 8, batch: int = 256, rate: float = 0.01, drop: float = 0.25) -> list[float]:
+        """Adam over shuffled batches; returns the loss of each epoch.
 
-    def fit(self, words: np.ndarray, labels: np.ndarray, weight: np.ndarray, epochs: int = 8, batch: int = 256, rate: float = 0.01) -> list[float]:
-        """Adam over shuffled batches; ``words`` is window, time, input. Returns the loss of each epoch."""
+        ``words`` is window, time, given input; ``tokens`` numbers the same words for ``learned``, whose
+        inputs follow the given ones. A share ``drop`` of words does without them in each batch.
+        """
         random, losses = np.random.default_rng(self.seed), []
-        first = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        second = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        step = 0
+        owners = {k: store for store in (self.weights, learned.weights) for k in store}
+        first, second = ({k: np.zeros_like(store[k]) for k, store in owners.items()} for _ in range(2))
+        step, given = 0, words.shape[2]
         for epoch in range(epochs):
             order, seen = random.permutation(len(labels)), []
             for at in range(0, len(order), batch):
                 rows = order[at : at + batch]
-                loss, g = self.gradients(words[rows].transpose(1, 0, 2), labels[rows], weight[rows])
+                used, own = np.unique(tokens[rows].T, return_inverse=True)
+                own = own.reshape(tokens.shape[1], len(rows))
+                kept = (random.random(own.shape) >= drop).astype(np.float32)[:, :, None]
+                x = np.concatenate([words[rows].transpose(1, 0, 2), learned.vectors(used)[own] * kept], axis=2)
+                loss, g, to_words = self.gradients(x, labels[rows], weight[rows])
+                g |= learned.gradients(used, own, to_words[:, :, given:] * kept)
                 seen.append(loss)
                 norm = float(np.sqrt(sum(float((x**2).sum()) for x in g.values())))
                 clip, step = min(1.0, 1.0 / (norm + 1e-9)), step + 1
@@ -126,6 +140,6 @@ class Gru:
                     x = x * clip
                     first[k] = 0.9 * first[k] + 0.1 * x
                     second[k] = 0.999 * second[k] + 0.001 * x**2
-                    self.weights[k] = (self.weights[k] - speed * first[k] / (np.sqrt(second[k]) + 1e-8)).astype(np.float32)
+                    owners[k][k] = (owners[k][k] - speed * first[k] / (np.sqrt(second[k]) + 1e-8)).astype(np.float32)
             losses.append(sum(seen) / max(1, len(seen)))
         return losses

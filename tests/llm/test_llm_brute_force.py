@@ -21,6 +21,7 @@ from scalargrid.llm.language import Ranks, count_grams
 from scalargrid.llm.packing import best_fit
 from scalargrid.llm.queries import ORACLES, QUERIES
 from scalargrid.llm.wavelet import WaveletMatrix
+from scalargrid.llm.word_inputs import WordInputs
 
 SF_DIR = "/root/testdata/sf0.001"
 tables = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no benchmark tables")
@@ -323,7 +324,13 @@ def test_gradients():
     network, random = Gru(3, hidden=4, attention=3), np.random.default_rng(0)
     network.weights = {k: v.astype(np.float64) for k, v in network.weights.items()}
     x, y, weight = random.standard_normal((6, 5, 3)), (random.random(5) > 0.5).astype(float), random.random(5) + 0.5
-    _, grads = network.gradients(x, y, weight)
+    _, grads, to_words = network.gradients(x, y, weight)
+    for at in ((0, 0, 0), (5, 4, 2), (2, 3, 1)):
+        moved = [x.copy(), x.copy()]
+        moved[0][at] += 1e-3
+        moved[1][at] -= 1e-3
+        up, down = (network.gradients(m, y, weight)[0] for m in moved)
+        assert to_words[at] == pytest.approx((up - down) / 2e-3, abs=2e-5)
     for name, grad in grads.items():
         flat, at = network.weights[name].ravel(), int(random.integers(grad.size))
         flat[at] += 1e-3
@@ -342,7 +349,40 @@ def test_windows_cover_every_word():
 
 
 def test_long_words_are_read_whole():
-    assert "".join(toxicity.words_of("X" * 100 + " don't")) == "x" * 100 + "dont"
+    assert "".join(toxicity.words_of("X" * 100 + " don't t0xic_!")) == "x" * 100 + "don'tt0xic_!"
+
+
+def test_learned_inputs_and_their_gradients():
+    words = ["", "a", "t0xic", "don", "'", "x" * 24]
+    layer, random = WordInputs().learn(words), np.random.default_rng(2)
+    layer.weights = {k: v.astype(np.float64) for k, v in layer.weights.items()}
+    assert not layer.vectors()[0].any() and layer.vectors().shape == (6, 12) and len(np.unique(layer.vectors(), axis=0)) == 6
+    used, own, out = np.array([0, 2, 5]), np.array([[0, 1], [2, 1], [1, 0]]), random.standard_normal((3, 2, 12))
+    grads = layer.gradients(used, own, out)
+    for name, grad in grads.items():
+        for row, column in zip(*np.nonzero(grad), strict=True):
+            at = [(0.0, None), (1e-3, None)]
+            values = []
+            for step, _ in at:
+                layer.weights[name][row, column] += step
+                values.append((layer.vectors(used)[own] * out).sum())
+            layer.weights[name][row, column] -= 1e-3
+            assert grad[row, column] == pytest.approx((values[1] - values[0]) / 1e-3, abs=1e-4)
+
+
+def test_windows_of_a_long_text_stand_where_those_of_a_short_one_do():
+    assert toxicity._CHUNK_WORDS % toxicity.STRIDE == 0
+    random = np.random.default_rng(3)
+    network, learned = Gru(toxicity.INPUTS), WordInputs()
+    evidence = random.standard_normal(toxicity.BUCKETS).astype(np.float32)
+    score = toxicity.Model(toxicity.packed(evidence), network.weights, learned.weights).scorer()
+    words = [f"w{i}" for i in random.integers(0, 500, 2 * toxicity._CHUNK_WORDS + 1000)]
+    whole = float(score([" ".join(words)])[0])
+    vocabulary = toxicity.Vocabulary(evidence, learned)
+    rows = toxicity.windows(vocabulary.indices(words))
+    table = vocabulary.inputs()
+    plain = max(float(network.forward(table[rows[at : at + 4096].T]).max()) for at in range(0, len(rows), 4096))
+    assert whole == pytest.approx(plain, abs=1e-5)
 
 
 @tables
