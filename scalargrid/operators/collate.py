@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from scalargrid.functions.flags import NO_MODEL_DATA, assumption_flag
 from scalargrid.operators.inventory import SESSION_KEYS
 from scalargrid.operators.records import ORDER_COLUMNS
-from scalargrid.runtime import AXIS_LIMIT, distinct_values, small_values
+from scalargrid.runtime import AXIS_LIMIT, distinct_values, small_values, stored
 
 LONG_KEYS = ("subject", "session", "bundle", "scalar")
 BUNDLE_KEYS = ("subject", "session", "bundle")
@@ -96,6 +96,7 @@ def complete_grid(
     every record is known to belong to a listed subject and session, which
     saves two joins.
     """
+    records = stored(records, "records")
     found = records if closed else _in_cohort(records, subjects, sessions)
     bundles = expand_axis(session_grid(subjects, sessions, limit), records, "bundle", limit)
     names = small_values(records, "scalar", limit)
@@ -173,6 +174,7 @@ def complete_wide(
     ``drop_empty`` leaves out rows and scalars without any value. The scalar axis is
     never expanded: only three-key rows are completed.
     """
+    records = stored(records, "records")
     found = records if closed else _in_cohort(records, subjects, sessions)
     if drop_empty:
         names = scalars or distinct_values(records.where(F.col("value").isNotNull()), "scalar")

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scalargrid.functions.cells import NO_SESSION, strip_label
-from scalargrid.runtime import computed_once
+from scalargrid.operators.keyed import KEY_ROWS, attach
+from scalargrid.runtime import computed_once, stage, stored
 from scalargrid.sources.patterns import (
     BUNDLE_PATTERNS,
     DATASET_DESCRIPTION,
@@ -79,22 +80,26 @@ def with_entities(files: DataFrame, root: str) -> DataFrame:
     )
 
 
-def below_derivatives(files: DataFrame) -> DataFrame:
-    """Keep the recon folders below ``derivatives`` if there are any, else all."""
-    nested = F.col("path").rlike(f"/derivatives/{RECON_FOLDER_PREFIX}")
-    any_nested = files.agg(F.coalesce(F.bool_or(nested), F.lit(False))).scalar()
-    return files.where(nested | ~any_nested)
+def below_derivatives(files: DataFrame, root: str) -> DataFrame:
+    """Keep what lies in the folder ``derivatives`` right below ``root`` if there is one, else all.
+
+    Only that place counts: a folder of this name above the root or deeper inside means nothing.
+    """
+    nested = F.coalesce(F.startswith(relative_path(F.col("path"), root), F.lit("derivatives/")), F.lit(False))
+    any_nested = files.agg(F.coalesce(F.bool_or(nested), F.lit(False))).first()[0]
+    return files.where(nested) if any_nested else files
 
 
 def resolve_sessions(files: DataFrame, by: Sequence[str] = ("recon_suffix", "subject")) -> DataFrame:
     """Settle the session of every file, per group of ``by`` (one subject folder).
 
     If the folder has any session folder, files outside of one are dropped;
-    if it has none, they get the no-session label.
+    if it has none, they get the no-session label. One folder may hold most files.
     """
-    layers = files.groupBy(*by).agg(F.bool_or(F.col("session").isNotNull()).alias("_layered"))
+    files = stored(files, "located")
+    layers = files.groupBy(*by).agg(F.bool_or(F.col("session").isNotNull()).alias("_layered"), F.count("*").alias(KEY_ROWS))
     return (
-        files.join(layers, list(by))
+        attach(files, stage(layers, "layers"), by, ["_layered"])
         .where(F.col("session").isNotNull() | ~F.col("_layered"))
         .withColumn("session", F.coalesce("session", F.lit(NO_SESSION)))
         .select(*files.columns)
@@ -151,14 +156,16 @@ def pick_bundle_files(files: DataFrame, bundle_source: str = "auto") -> DataFram
     """Bundle tables to parse.
 
     ``auto`` keeps all files of the best table type per recon folder, subject and
-    session; a named type keeps that type only, with no fallback.
+    session; a named type keeps that type only, with no fallback. One session may
+    hold most files.
     """
     bundles = files.where((F.col("category") == "bundle") & F.col("in_dwi"))
     if bundle_source != "auto":
         return bundles.where(F.col("source_type") == bundle_source)
     keys = ["recon_suffix", *SESSION_KEYS]
-    best = bundles.groupBy(*keys).agg(F.min("priority").alias("priority"))
-    return bundles.join(best, [*keys, "priority"], "left_semi")
+    bundles = stored(bundles, "bundles")
+    best = bundles.groupBy(*keys).agg(F.min("priority").alias("_best"), F.count("*").alias(KEY_ROWS))
+    return attach(bundles, stage(best, "best"), keys, ["_best"]).where(F.col("priority") == F.col("_best")).drop("_best")
 
 
 def pick_sidecar_files(files: DataFrame) -> DataFrame:

@@ -26,8 +26,9 @@ from scalargrid.functions.names import (
     scalar_from_file,
     source_from_file,
 )
-from scalargrid.runtime import computed_once
+from scalargrid.runtime import computed_once, stored
 from scalargrid.sources.patterns import BUNDLE_PATTERNS, FilePattern
+from scalargrid.sources.tables import line_cells, line_heads
 
 FILE_COLUMNS = ("path", "subject", "session", "recon_suffix")
 ORDER_COLUMNS = ("recon_suffix", "path", "row", "column")
@@ -137,20 +138,80 @@ def along_tract_records(rows: DataFrame, scalar_name: str | None = None) -> Data
         .withColumn("_text", strip(F.get("values", "column")))
         .withColumn("_node", stripped_number(F.col("_text")))
     )
-    # Index columns are told by name: one test per column, not one per node.
-    index = F.col("scalar_raw").rlike(NUMERIC_NAME) | F.col("scalar_raw").rlike(BLANK_NAME)
-    collapsed = (
-        nodes.groupBy(*FILE_COLUMNS, "column", "scalar_raw")
-        .agg(
-            F.avg("_node").alias("mean"),
-            F.stddev_samp("_node").alias("std"),
-            F.count("_node").alias("n_nodes"),
+    collapsed = nodes.groupBy(*FILE_COLUMNS, "column", "scalar_raw").agg(
+        F.avg("_node").alias("mean"),
+        F.stddev_samp("_node").alias("std"),
+        F.count("_node").alias("n_nodes"),
+    )
+    return _collapsed_records(collapsed, scalar_name)
+
+
+def node_moments(lines: DataFrame) -> DataFrame:
+    """``path, column, n, mean, m2, cells`` of profiles that arrive line by line; ``m2`` is the sum of squared deviations.
+
+    No header is needed, so lines are combined where they are read and never shuffled. What has been
+    landed in increments is put together by ``merged_moments``; ``cells`` counts cells of any content.
+    """
+    nodes = computed_once(line_cells(lines), [strip(F.col("cell")).alias("_text")]).select(
+        "path", "column", stripped_number(F.col("_text")).alias("_node")
+    )
+    return nodes.groupBy("path", "column").agg(
+        F.count("_node").alias("n"), F.avg("_node").alias("mean"),
+        (F.var_pop("_node") * F.count("_node")).alias("m2"), F.count("*").alias("cells"),
+    )
+
+
+def merged_moments(moments: DataFrame) -> DataFrame:
+    """One row per path and column, from any number of parts, combined two by two in one order."""
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+
+    def combined(a: Column, b: Column) -> Column:
+        n, apart = a["n"] + b["n"], b["mean"] - a["mean"]
+        share = b["n"] / n
+        return F.struct(
+            n.alias("n"), (a["mean"] + apart * share).alias("mean"),
+            (a["m2"] + b["m2"] + apart * apart * a["n"] * share).alias("m2"),
         )
-        # Tied to an aggregate, so that the test stays above it.
-        .where(F.when(index, 0).otherwise(F.col("n_nodes")) > 0)
+
+    part = F.when(F.col("n") > 0, F.struct("n", "mean", "m2"))
+    return (
+        moments.groupBy("path", "column")
+        .agg(F.array_sort(F.collect_list(part)).alias("_parts"), F.sum("cells").alias("cells"))
+        .select("path", "column", "cells", F.aggregate("_parts", none, combined).alias("_all"))
+        .select("path", "column", F.col("_all.n").alias("n"), F.when(F.col("_all.n") > 0, F.col("_all.mean")).alias("mean"),
+                F.when(F.col("_all.n") > 0, F.col("_all.m2")).alias("m2"), "cells")
+    )
+
+
+def moment_records(moments: DataFrame, heads: DataFrame, scalar_name: str | None = None) -> DataFrame:
+    """Along-tract records from moments (one row per path and column) and the headers of the same files.
+
+    A file with a row longer than its header is not used, as in ``line_rows``.
+    """
+    moments = stored(moments, "moments")
+    width = moments.groupBy("path").agg(F.max("column").alias("_last"))
+    known = heads.join(width, "path").where(F.col("_last") < F.size("header")).drop("_last")
+    return _collapsed_records(
+        moments.join(known, "path").select(
+            *FILE_COLUMNS, "column", F.get("header", "column").alias("scalar_raw"), "mean",
+            F.when(F.col("n") > 1, F.sqrt(F.col("m2") / (F.col("n") - 1))).alias("std"), F.col("n").alias("n_nodes"),
+        ),
+        scalar_name,
     )
+
+
+def tract_line_records(lines: DataFrame, scalar_name: str | None = None) -> DataFrame:
+    """Along-tract records of tables in lines ``(path, row, line, subject, session, recon_suffix)``: two reads, no shuffle of lines."""
+    return moment_records(node_moments(lines), line_heads(lines.select(*FILE_COLUMNS, "row", "line")), scalar_name)
+
+
+def _collapsed_records(collapsed: DataFrame, scalar_name: str | None) -> DataFrame:
+    # Index columns are told by name: one test per column, not one per node.
+    index = F.col("scalar_raw").rlike(NUMERIC_NAME) | F.col("scalar_raw").rlike(BLANK_NAME)
+    # Tied to an aggregate, so that the test stays above it.
+    named = collapsed.where(F.when(index, 0).otherwise(F.col("n_nodes")) > 0)
     return as_records(
-        collapsed.select(
+        named.select(
             *FILE_COLUMNS, "column", "scalar_raw", "n_nodes",
             F.posexplode(F.array("mean", "std")).alias("row", "value"),
         )

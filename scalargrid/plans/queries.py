@@ -22,7 +22,7 @@ from scalargrid.operators import sidecars as side
 from scalargrid.operators.dictionary import data_dictionary
 from scalargrid.plans import inputs
 from scalargrid.plans.inputs import BUNDLE_RECORDS_SQL, SIDECARS_SQL, table
-from scalargrid.runtime import shared_dir
+from scalargrid.runtime import shared_dir, stage
 from scalargrid.sources import sinks
 from scalargrid.sources.tables import line_rows, table_cells, table_rows
 
@@ -131,7 +131,7 @@ def tract_layout(spark, sf_dir):
     FROM collapsed, (VALUES ('fa_mean'), ('fa_std')) AS x(scalar)""")
 def along_tract_collapse(spark, sf_dir):
     """Node-by-bundle tables, read line by line, to mean, deviation and node count."""
-    records = rec.tractometry_records(line_rows(inputs.tract_lines(spark, sf_dir)), layout="along_tract")
+    records = rec.tract_line_records(inputs.tract_lines(spark, sf_dir))
     return records.select(
         "subject", "session", "recon_suffix", "bundle", "scalar_raw", "scalar",
         F.round("value", 8).alias("value"), "n_nodes",
@@ -345,7 +345,8 @@ _PATHS_SQL = """
 
 def _located(files: DataFrame) -> DataFrame:
     """The root branch first, then the session layer of each subject in it."""
-    return inv.resolve_sessions(inv.below_derivatives(inv.with_entities(files, inputs.RECON_ROOT)))
+    located = stage(inv.with_entities(files, inputs.RECON_ROOT), "located")
+    return inv.resolve_sessions(inv.below_derivatives(located, inputs.RECON_ROOT))
 
 
 @query(f"""

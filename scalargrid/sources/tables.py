@@ -16,6 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scalargrid.operators.keyed import KEY_ROWS, attach
+from scalargrid.runtime import stage
+
 EMPTY_FILE = "No columns to parse from file"
 LONG_ROW = "Error tokenizing data: a row has more cells than the header"
 
@@ -26,9 +29,6 @@ _RECORD = rf"{_CELL}(?:{{mark}}{_CELL})*+(?:\\r\\n|\\n|\\r|\\z)"
 _QUOTED = r'(?s)^"((?:[^"]|"")*+)"(.*)$'
 _MARK = r"if(endswith(path, '.tsv'), '\t', ',')"
 
-# Parts that the lines of one path are dealt into.
-PATH_PARTS = 8
-
 _STYLES = {
     "snake": r"translate(lower(btrim(c, ' \t\r\n')), ' ', '_')",
     "lower": r"lower(btrim(c, ' \t\r\n'))",
@@ -130,38 +130,38 @@ def table_rows(
     ).select(*others, "row", "header", "values", "problem")
 
 
+def _clean_lines(lines: DataFrame) -> DataFrame:
+    others = [c for c in lines.columns if c not in ("row", "line")]
+    return lines.selectExpr(*others, "row", rf"rtrim('\r', {_without_bom('line')}) as line").where("trim(line) != ''")
+
+
 def line_rows(lines: DataFrame, header_style: str = "snake") -> DataFrame:
     """Row frame from records in lines of their own ``(path, row, line, ...)``.
 
     For tables that arrive line by line; files are read by ``table_rows``. Row 0 of a path is its
-    header. Header and widest row come from one aggregate that combines before the shuffle. They
-    meet the lines again by path and part: the lines of a path are dealt into ``PATH_PARTS`` parts,
-    so a path with most lines is no single task, and what is summed up by path afterwards combines
-    before it is shuffled.
+    header. Header and widest row come from one aggregate that combines before the shuffle, is
+    stored, and meets the lines by ``keyed.attach``: the lines are not shuffled where the headers can be
+    broadcast, and a path with most lines is never one task. So the lines are read twice, or three times.
     """
     others = [c for c in lines.columns if c not in ("row", "line")]
-    lines = lines.selectExpr(*others, "row", rf"rtrim('\r', {_without_bom('line')}) as line").where(
-        "trim(line) != ''"
-    )
+    lines = _clean_lines(lines)
     heads = (
         lines.groupBy("path").agg(
             F.max(F.expr("if(row = 0, line, null)")).alias("_head"),
             F.expr(f"max({_width('line')})").alias("_widest"),
+            F.count("*").alias(KEY_ROWS),
         )
         .where("_head is not null")
         .selectExpr(
-            "path",
+            "path", KEY_ROWS,
             f"{_named(_cells('_head'))} as _named",
             f"if(_widest > {_width('_head')}, '{LONG_ROW}', null) as problem",
         )
-        .selectExpr(
-            "path", f"{_column_names('_named', header_style)} as header", "problem",
-            f"explode(sequence(0L, {PATH_PARTS - 1}L)) as _part",
-        )
+        .selectExpr("path", KEY_ROWS, f"{_column_names('_named', header_style)} as header", "problem")
     )
     # Of an unusable file only the header line stays, to carry the problem.
     return (
-        lines.withColumn("_part", F.expr(f"pmod(row, {PATH_PARTS}L)")).join(heads, ["path", "_part"])
+        attach(lines, stage(heads, "heads"), ["path"], ["header", "problem"])
         .where("if(problem is null, row > 0, row = 0)")
         .selectExpr(
             *others, "row",
@@ -174,6 +174,20 @@ def line_rows(lines: DataFrame, header_style: str = "snake") -> DataFrame:
     )
 
 
+def line_heads(lines: DataFrame, header_style: str = "snake") -> DataFrame:
+    """``(path, ..., header)`` of tables in lines, without looking at their other lines."""
+    others = [c for c in lines.columns if c not in ("row", "line")]
+    heads = _clean_lines(lines.where("row = 0")).selectExpr(*others, f"{_named(_cells('line'))} as _named")
+    return heads.selectExpr(*others, f"{_column_names('_named', header_style)} as header")
+
+
+def line_cells(lines: DataFrame) -> DataFrame:
+    """``(path, row, column, cell)`` of all lines but the headers; which file a line is from needs no header."""
+    return _clean_lines(lines.where("row > 0").select("path", "row", "line")).selectExpr(
+        "path", "row", f"posexplode({_cells('line')}) as (column, cell)"
+    )
+
+
 def table_cells(rows: DataFrame) -> DataFrame:
     """One row per cell ``(..., row, column, name, cell)``; short rows are padded."""
     others = [c for c in rows.columns if c not in ("header", "values", "problem", "row")]

@@ -28,8 +28,11 @@ def test_session_layer_hides_the_subject_folder(spark):
 def test_root_branch(spark):
     nested, flat = ROOT + "A/sub-01/dwi/x", "/data/recon/qsirecon-A/sub-01/dwi/x"
     both = spark.createDataFrame([(nested,), (flat,)], "path string")
-    assert [r[0] for r in inv.below_derivatives(both).collect()] == [nested]
-    assert inv.below_derivatives(both.where(both.path == flat)).count() == 1
+    assert [r[0] for r in inv.below_derivatives(both, "/data/recon").collect()] == [nested]
+    assert inv.below_derivatives(both.where(both.path == flat), "/data/recon").count() == 1
+    # Only the place right below the root counts, whatever lies above it or deeper.
+    deep = spark.createDataFrame([("/x/derivatives/qsirecon-A/sub-01/dwi/x",), ("/x/derivatives/qsirecon-A/derivatives/y",)], "path string")
+    assert inv.below_derivatives(deep, "/x/derivatives").count() == 2
 
 
 def test_include_lists(spark):
