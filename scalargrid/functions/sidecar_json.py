@@ -16,8 +16,8 @@ UNKNOWN_VERSION = "unknown"
 
 
 def json_fields(content: Column) -> Column:
-    """Top-level keys as MAP<STRING, STRING>; NULL for anything but a JSON object."""
-    return F.from_json(content, "map<string,string>")
+    """Top-level keys as MAP<STRING, STRING>; NULL for anything but a JSON object in UTF-8."""
+    return F.when(F.is_valid_utf8(content), F.from_json(content, "map<string,string>"))
 
 
 def has_fields(fields: Column) -> Column:

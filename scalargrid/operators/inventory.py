@@ -90,16 +90,19 @@ def below_derivatives(files: DataFrame, root: str) -> DataFrame:
     return files.where(nested) if any_nested else files
 
 
-def resolve_sessions(files: DataFrame, by: Sequence[str] = ("recon_suffix", "subject")) -> DataFrame:
+def resolve_sessions(
+    files: DataFrame, by: Sequence[str] = ("recon_suffix", "subject"), folder: str | None = None
+) -> DataFrame:
     """Settle the session of every file, per group of ``by`` (one subject folder).
 
     If the folder has any session folder, files outside of one are dropped;
     if it has none, they get the no-session label. One folder may hold most files.
+    ``folder`` is where what is used twice is staged.
     """
-    files = stored(files, "located")
+    files = stored(files, "located", folder)
     layers = files.groupBy(*by).agg(F.bool_or(F.col("session").isNotNull()).alias("_layered"), F.count("*").alias(KEY_ROWS))
     return (
-        attach(files, stage(layers, "layers"), by, ["_layered"])
+        attach(files, stage(layers, "layers", folder), by, ["_layered"])
         .where(F.col("session").isNotNull() | ~F.col("_layered"))
         .withColumn("session", F.coalesce("session", F.lit(NO_SESSION)))
         .select(*files.columns)
@@ -152,7 +155,7 @@ def classify_files(
     return known.select(*files.columns, *kinds)
 
 
-def pick_bundle_files(files: DataFrame, bundle_source: str = "auto") -> DataFrame:
+def pick_bundle_files(files: DataFrame, bundle_source: str = "auto", folder: str | None = None) -> DataFrame:
     """Bundle tables to parse.
 
     ``auto`` keeps all files of the best table type per recon folder, subject and
@@ -163,9 +166,9 @@ def pick_bundle_files(files: DataFrame, bundle_source: str = "auto") -> DataFram
     if bundle_source != "auto":
         return bundles.where(F.col("source_type") == bundle_source)
     keys = ["recon_suffix", *SESSION_KEYS]
-    bundles = stored(bundles, "bundles")
+    bundles = stored(bundles, "bundles", folder)
     best = bundles.groupBy(*keys).agg(F.min("priority").alias("_best"), F.count("*").alias(KEY_ROWS))
-    return attach(bundles, stage(best, "best"), keys, ["_best"]).where(F.col("priority") == F.col("_best")).drop("_best")
+    return attach(bundles, stage(best, "best", folder), keys, ["_best"]).where(F.col("priority") == F.col("_best")).drop("_best")
 
 
 def pick_sidecar_files(files: DataFrame) -> DataFrame:

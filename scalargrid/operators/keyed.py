@@ -13,7 +13,7 @@ HEAVY_SHARE = 2000
 KEY_ROWS = "_key_rows"
 
 
-def _fits_broadcast(df: DataFrame) -> bool:
+def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark broadcasts a stored table by its known size."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
@@ -28,7 +28,7 @@ def attach(rows: DataFrame, decided: DataFrame, keys: Sequence[str], columns: Se
     are few per key, so their shuffle is even. ``rows`` are then read twice and should be stored.
     """
     keys, side = list(keys), decided.select(*keys, *columns)
-    if _fits_broadcast(decided):
+    if fits_broadcast(decided):
         return rows.join(side, keys).select(*rows.columns, *columns)
     total = decided.agg(F.sum(KEY_ROWS)).first()[0] or 0
     heavy = F.col(KEY_ROWS) * HEAVY_SHARE >= F.lit(total)

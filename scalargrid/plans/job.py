@@ -16,6 +16,7 @@ from scalargrid.operators import metadata as meta
 from scalargrid.operators import qc as quality
 from scalargrid.operators import runlog as log
 from scalargrid.operators.dictionary import data_dictionary
+from scalargrid.operators.keyed import fits_broadcast
 from scalargrid.operators.records import (
     DEFAULT_FORMATS,
     FILE_COLUMNS,
@@ -28,7 +29,7 @@ from scalargrid.operators.sidecars import reduce_sidecars, sidecar_fields, sidec
 from scalargrid.runtime import remove_dir, shared_dir, stage
 from scalargrid.sources import files as src
 from scalargrid.sources import sinks
-from scalargrid.sources.patterns import DATASET_DESCRIPTION, QC_PATTERNS, SIDECAR_PATTERNS
+from scalargrid.sources.patterns import DATASET_DESCRIPTION, QC_PATTERNS, SIDECAR_PATTERNS, FilePattern
 from scalargrid.sources.tables import table_rows
 
 SESSIONS_TABLE = r"(?:^|_)sessions\.tsv$"
@@ -118,37 +119,25 @@ def build(
         for name, (root, globs) in trees.items()
     ]
     found = stage(listed[0].unionByName(listed[1]), "inventory", work_dir)
-    # One scan per tree reads what any step may want; file by file they would be listed again.
-    wanted = {
-        "preproc": [SESSIONS_TABLE, *(p.scan_regex for p in QC_PATTERNS if include_qc)],
-        "recon": [p.scan_regex for p in (*(f.pattern for f in formats), *SIDECAR_PATTERNS)],
-    }
-    description = f"^{re.escape(DATASET_DESCRIPTION)}$"
-    texts = {
-        name: stage(
-            src.read_documents(spark, globs, _any_name([*wanted[name], description])),
-            f"{name}_texts", work_dir,
-        )
-        for name, (_, globs) in trees.items()
-    }
     inside = found.where(F.col("subject").isNotNull())
     preproc = inv.keep_labels(
-        inv.resolve_sessions(inside.where(F.col("tree") == "preproc")), subjects, sessions
+        inv.resolve_sessions(inside.where(F.col("tree") == "preproc"), folder=work_dir), subjects, sessions
     )
     recon = inv.keep_labels(
-        inv.resolve_sessions(inside.where(F.col("tree") == "recon")),
+        inv.resolve_sessions(inside.where(F.col("tree") == "recon"), folder=work_dir),
         subjects, sessions, recon_suffixes,
     )
     patterns = [f.pattern for f in formats]
     recon_files = inv.classify_files(recon, patterns)
     bundle_files = stage(
-        inv.pick_bundle_files(recon_files, bundle_source).select(*FILE_COLUMNS, "source_type"),
+        inv.pick_bundle_files(recon_files, bundle_source, work_dir).select(*FILE_COLUMNS, "source_type"),
         "bundle_files", work_dir,
     )
     sidecar_files = stage(
         inv.pick_sidecar_files(recon_files).select("path", *inv.SESSION_KEYS, "source_type"),
         "sidecar_files", work_dir,
     )
+    texts = _texts(spark, trees, found, recon_files, bundle_files, patterns, include_qc, work_dir)
     members = preproc.select(*inv.SESSION_KEYS).unionByName(recon.select(*inv.SESSION_KEYS))
     if expected_sessions is not None:
         expected = expected_sessions.select(*inv.SESSION_KEYS)
@@ -254,6 +243,36 @@ def build(
     )
 
 
+def _texts(
+    spark: SparkSession, trees: dict[str, tuple[str, list[str]]], found: DataFrame, recon_files: DataFrame,
+    bundle_files: DataFrame, patterns: Sequence[FilePattern], include_qc: bool, work_dir: str,
+) -> dict[str, DataFrame]:
+    """Staged ``(path, content)`` per tree of what any step may want, also of files that cannot be read.
+
+    One scan per tree: file by file they would be listed again. Bundle tables that were not chosen are left
+    out where their paths can be broadcast; beyond that they are copied too, so that no text is shuffled here.
+    """
+    wanted = {
+        "preproc": [SESSIONS_TABLE, *(p.scan_regex for p in QC_PATTERNS if include_qc)],
+        "recon": [p.scan_regex for p in (*patterns, *SIDECAR_PATTERNS)],
+    }
+    passed_over = stage(
+        recon_files.where(F.col("category") == "bundle").select("path").join(bundle_files.select("path"), "path", "left_anti"),
+        "passed_over", work_dir,
+    )
+    skip = fits_broadcast(passed_over)
+    texts = {}
+    for name, (_, globs) in trees.items():
+        regex = _any_name([*wanted[name], f"^{re.escape(DATASET_DESCRIPTION)}$"])
+        read = src.read_documents(spark, globs, regex)
+        listed = found.where((F.col("tree") == name) & F.col("file_name").rlike(regex)).select("path", "file_size")
+        if name == "recon" and skip:
+            read, listed = (frame.join(passed_over, "path", "left_anti") for frame in (read, listed))
+        read = stage(read, f"{name}_texts", work_dir)
+        texts[name] = read.unionByName(stage(src.unread(read, listed), f"{name}_unread", work_dir))
+    return texts
+
+
 def _qc(
     spark: SparkSession, texts: DataFrame, qc_files: DataFrame,
     group_dir: str | None, fd_threshold: float, work_dir: str,

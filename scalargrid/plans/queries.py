@@ -20,9 +20,10 @@ from scalargrid.operators import records as rec
 from scalargrid.operators import runlog as log
 from scalargrid.operators import sidecars as side
 from scalargrid.operators.dictionary import data_dictionary
-from scalargrid.plans import inputs
+from scalargrid.plans import inputs, job, trees
 from scalargrid.plans.inputs import BUNDLE_RECORDS_SQL, SIDECARS_SQL, table
-from scalargrid.runtime import shared_dir, stage
+from scalargrid.runtime import remove_dir, shared_dir, stage
+from scalargrid.sources import files as src
 from scalargrid.sources import sinks
 from scalargrid.sources.tables import line_rows, table_cells, table_rows
 
@@ -1003,3 +1004,132 @@ def collated_wide(spark, sf_dir):
         _bundle_records(spark, sf_dir, withhold=True), *inputs.cohort_axes(spark, sf_dir),
         _session_info(spark, sf_dir), "wide",
     )
+
+
+# File trees -------------------------------------------------------------------
+
+_TREE_SQL = f"""
+    WITH {BUNDLE_RECORDS_SQL},
+    visits AS (
+      SELECT l_suppkey AS s, year(l_shipdate) AS y, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS volume,
+             count(*) FILTER (WHERE round(l_tax * 10, 2) > 0.5 AND (l_orderkey * 8 + l_linenumber) % 11 <> 0) AS c
+      FROM lineitem GROUP BY ALL),
+    kept AS (SELECT * EXCLUDE (s, y) FROM records WHERE (s + y) % 10 > 1),
+    spine AS (SELECT 'sub-' || s AS subject, 'ses-' || y AS session, s, y
+              FROM (SELECT DISTINCT s FROM visits), (SELECT DISTINCT y FROM visits)),
+    model AS (
+      SELECT s, y, CASE WHEN s % 10 <> 4 THEN CASE WHEN y % 2 = 0 THEN 1.7::DOUBLE ELSE 1.1::DOUBLE END END AS d_par
+      FROM visits WHERE s % 2 = 0),
+    told AS (
+      SELECT subject, session, d_par AS noddi_d_par, CAST(NULL AS DOUBLE) AS noddi_d_iso, false AS noddi_modulated_present,
+             CASE WHEN m.s IS NOT NULL THEN 1 END::BIGINT AS noddi_sidecar_count, CAST(NULL AS VARCHAR) AS dti_fitting_method,
+             CAST(NULL AS BIGINT) AS dti_sidecar_count, CASE WHEN v.s IS NOT NULL THEN (y - 1990)::DOUBLE END AS session_age_months,
+             CASE WHEN d_par IS NULL THEN 'UNKNOWN:sidecar_missing' WHEN d_par <> 1.7 THEN 'WARN:unexpected_d_par:1.1000'
+                  ELSE 'WARN:adult_default_d_par_in_infant' END AS noddi_d_par_flag,
+             '1.2' AS qsiprep_version, '1.2' AS qsirecon_version, v.s, v.y, v.n, v.c, v.volume
+      FROM spine LEFT JOIN visits v USING (s, y) LEFT JOIN model m USING (s, y)),
+    qc AS (
+      SELECT * EXCLUDE (s, y, n, c, volume),
+             {", ".join(f"CAST(NULL AS DOUBLE) AS qc_{c}" for c in (
+                 "mean_fd", "max_fd", "ndc", "num_bad_slices", "ndc_raw", "num_bad_slices_raw", "max_translation", "max_rotation",
+                 "max_rel_translation", "max_rel_rotation", "t1_dice_distance", "mni_dice_distance"))},
+             CASE WHEN s % 10 <> 3 THEN n END AS qc_n_volumes, CASE WHEN s % 10 <> 3 THEN c END AS qc_n_censored,
+             CASE WHEN s % 10 <> 3 THEN round(c / n, 6) END AS qc_pct_censored, CASE WHEN s % 10 <> 3 THEN 0.5::DOUBLE END AS qc_fd_threshold_used,
+             volume::DOUBLE AS mriqc_volume, CASE s % 2 WHEN 0 THEN 'a' WHEN 1 THEN 'b' END AS mriqc_site
+      FROM told),
+    files AS (
+      SELECT s, y, 'sub-' || s AS subject, 'ses-' || y AS session,
+             'sub-' || s || '_ses-' || y || CASE WHEN s % 2 = 1 THEN '_bundle_means.tsv' ELSE '_bundles-A_scalarstats.csv' END AS bundle_name,
+             '/recon/derivatives/qsirecon-W' || (s % 3) || '/sub-' || s || '/ses-' || y || '/dwi/' AS bundle_folder,
+             '/preproc/sub-' || s || '/ses-' || y || '/dwi/x' || CASE WHEN y % 2 = 0 THEN '_desc-confounds_timeseries.tsv' ELSE '_confounds.tsv' END AS motion,
+             '/recon/derivatives/qsirecon-MODEL/sub-' || s || '/ses-' || y || '/dwi/m_model-noddi_param-od_dwimap.json' AS sidecar
+      FROM visits)"""
+
+
+def _built(spark: SparkSession, sf_dir: str, **parameters) -> tuple[job.Outputs, str]:
+    """Outputs of the whole job on a tree of files, which is gone by then: all that is read is staged."""
+    folder = trees.write_tree(spark, sf_dir)
+    outputs = job.build(spark, f"{folder}/preproc", f"{folder}/recon", f"{folder}/group", **parameters)
+    remove_dir(spark, folder)
+    return outputs, folder
+
+
+def _below(path: str, folder: str):
+    """Paths as they stand below the study folder, wherever in a text."""
+    return F.regexp_replace(path, rf"[A-Za-z]+:[^ |]*/{folder.rpartition('/')[2]}", "")
+
+
+@query(f"""{_TREE_SQL}
+    SELECT bundle_folder || bundle_name AS path, (s + y) % 10 = 0 AS is_empty FROM files
+    UNION ALL SELECT motion, s % 10 = 3 FROM files
+    UNION ALL SELECT sidecar, s % 10 = 4 FROM files WHERE s % 2 = 0
+    UNION ALL SELECT DISTINCT '/preproc/' || subject || '/sessions.tsv', false FROM files
+    UNION ALL VALUES ('/preproc/dataset_description.json', false), ('/recon/derivatives/qsirecon-W0/dataset_description.json', false)""")
+def tree_inventory(spark, sf_dir):
+    """Both trees listed, files without a byte included."""
+    folder = trees.write_tree(spark, sf_dir)
+    globs = [*src.preproc_globs(f"{folder}/preproc"), *src.recon_globs(spark, f"{folder}/recon")]
+    listed = stage(src.list_files(spark, globs), "tree")
+    remove_dir(spark, folder)
+    return listed.select(_below("path", folder).alias("path"), (F.col("file_size") == 0).alias("is_empty"))
+
+
+@query(f"""{_TREE_SQL}
+    SELECT subject AS subject_id, session AS session_id, CAST(volume AS VARCHAR) AS volume,
+           CASE s % 2 WHEN 0 THEN 'a' ELSE 'b' END AS site FROM files JOIN visits USING (s, y)""")
+def tree_group_table(spark, sf_dir):
+    """The group-level table read from its file, ids and metrics as text."""
+    folder = trees.write_tree(spark, sf_dir)
+    found = stage(src.read_group_table(spark, f"{folder}/group"), "group")
+    remove_dir(spark, folder)
+    return found.drop(src.ROW_ORDER)
+
+
+@query(f"""{_TREE_SQL}
+    SELECT g.*, k.* EXCLUDE (subject, session, bundle, scalar), k.subject IS NOT NULL AS scalar_present,
+           qc.* EXCLUDE (subject, session), CAST(NULL AS BIGINT) AS n_nodes
+    FROM (SELECT subject, session, bundle, scalar FROM spine, (SELECT DISTINCT bundle FROM kept), (SELECT DISTINCT scalar FROM kept)) g
+    LEFT JOIN kept k USING (subject, session, bundle, scalar) JOIN qc USING (subject, session)""")
+def tree_long(spark, sf_dir):
+    """The whole job from files to the long table; empty and wrongly encoded files give gaps."""
+    return _built(spark, sf_dir)[0].table
+
+
+@query(f"""{_TREE_SQL}
+    SELECT g.*, w.* EXCLUDE (subject, session, bundle), CAST(NULL AS BIGINT) AS n_nodes,
+           told.* EXCLUDE (subject, session, s, y, n, c, volume)
+    FROM (SELECT subject, session, bundle FROM spine, (SELECT DISTINCT bundle FROM kept)) g
+    LEFT JOIN (
+      SELECT subject, session, bundle, max(value) FILTER (WHERE scalar = 'fa_mean') AS fa_mean,
+             max(value) FILTER (WHERE scalar = 'fa_std') AS fa_std, max(value) FILTER (WHERE scalar = 'length_mean') AS length_mean,
+             max(value) FILTER (WHERE scalar = 'qa_mean') AS qa_mean, max(value) FILTER (WHERE scalar = 'volume') AS volume,
+             max(recon_suffix) AS recon_suffix, max(bundle_source) AS bundle_source
+      FROM kept GROUP BY ALL) w USING (subject, session, bundle) JOIN told USING (subject, session)""")
+def tree_wide(spark, sf_dir):
+    """The whole job without its optional stages, as a wide table."""
+    outputs = _built(spark, sf_dir, scalar_format="wide", include_qc=False, include_data_dictionary=False)[0]
+    return outputs.table
+
+
+@query(f"""{_TREE_SQL},
+    events AS (
+      SELECT subject, session, 1 AS step, 'parse_error:' || bundle_name || ':Could not read ' || bundle_folder || bundle_name || ': ' ||
+             CASE (s + y) % 10 WHEN 0 THEN 'No columns to parse from file' ELSE 'the file is no UTF-8 text' END AS message
+      FROM files WHERE (s + y) % 10 < 2
+      UNION ALL SELECT subject, session, 2, 'dwimap_json_error:Could not read ' || sidecar FROM files WHERE s % 10 = 4
+      UNION ALL SELECT subject, session, 3, 'confounds_error:Could not read ' || motion || ': No columns to parse from file' FROM files WHERE s % 10 = 3
+      UNION ALL SELECT subject, session, 4, 'no_scalar_data' FROM spine ANTI JOIN kept USING (subject, session)),
+    texts AS (SELECT subject, session, string_agg(message, '|' ORDER BY step, message) AS warnings FROM events GROUP BY ALL),
+    used AS (
+      SELECT subject, session, CASE WHEN (s + y) % 10 > 1 THEN bundle_folder || bundle_name ELSE '' END AS bundle_scalar_file,
+             motion AS confounds_file, s % 2 = 0 AS noddi_json_found FROM files)
+    SELECT coalesce(u.subject, t.subject) AS subject, coalesce(u.session, t.session) AS session,
+           CASE WHEN coalesce(bundle_scalar_file, '') <> '' THEN 'partial' ELSE 'missing' END AS status,
+           coalesce(bundle_scalar_file, '') AS bundle_scalar_file, '' AS qc_file, coalesce(confounds_file, '') AS confounds_file,
+           coalesce(noddi_json_found, false) AS noddi_json_found, coalesce(warnings, '') AS warnings
+    FROM used u FULL JOIN texts t USING (subject, session)""")
+def tree_run_log(spark, sf_dir):
+    """The run log of a job on files, each that cannot be used with its reason."""
+    outputs, folder = _built(spark, sf_dir)
+    paths = ("bundle_scalar_file", "qc_file", "confounds_file", "warnings")
+    return outputs.run_log.withColumns({c: _below(c, folder) for c in paths})

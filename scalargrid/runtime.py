@@ -47,12 +47,12 @@ def stage(
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """``df`` itself if it only filters a stored table, else staged: what is used several times is computed once."""
     plan = df._jdf.queryExecution().optimizedPlan()
     while plan.nodeName() in ("Project", "Filter"):
         plan = plan.child()
-    return df if plan.nodeName().startswith(("LogicalRelation", "Relation")) else stage(df, name)
+    return df if plan.nodeName().startswith(("LogicalRelation", "Relation")) else stage(df, name, folder)
 
 
 def computed_once(df: DataFrame, columns: Sequence[Column]) -> DataFrame:

@@ -51,9 +51,28 @@ def recon_globs(
     return [f"{recon}/{_labels('sub-', subjects)}", f"{recon}/{DATASET_DESCRIPTION}"]
 
 
+def _decoded(path: Column) -> Column:
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def _file_path() -> Column:
     """Decoded path of the file a row comes from."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return _decoded(F.col("_metadata.file_path"))
+
+
+def _indexed_paths(frame: DataFrame) -> DataFrame:
+    """``path`` of every file in the index of a scan, also of those without a byte, which scans leave out.
+
+    The index was listed by Spark, by a job where there are many folders; its paths go from there
+    to a table inside the JVM.
+    """
+    spark = frame.sparkSession
+    session = spark._jsparkSession
+    paths = spark.sparkContext._jvm.java.util.Collections.singletonList(frame._jdf.inputFiles())
+    listed = DataFrame(session.createDataset(paths, session.implicits().newStringArrayEncoder()).toDF(), spark)
+    # Without an authority the index writes "file:///x", rows write "file:/x".
+    same = F.regexp_replace("path", r"^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+    return listed.select(F.explode("value").alias("path")).select(_decoded(same).alias("path"))
 
 
 def _load(
@@ -75,26 +94,47 @@ def _load(
 def list_files(
     spark: SparkSession, globs: Sequence[str], name_regex: str | None = None
 ) -> DataFrame:
-    """Inventory ``(path, file_size)``; file contents are not read."""
-    frame = _load(spark, "binaryFile", globs, name_regex)
+    """Inventory ``(path, file_size)``, files without a byte included; file contents are not read."""
+    frame = _load(spark, "binaryFile", globs, None)
     if frame is None:
         return spark.createDataFrame([], "path string, file_size long")
-    return frame.select(_file_path().alias("path"), F.col("_metadata.file_size").alias("file_size"))
+    sized = frame.select(_file_path().alias("path"), F.col("_metadata.file_size").alias("file_size"))
+    if name_regex:
+        # On the file's metadata, so that other files are dropped while the scan is planned.
+        named = frame.where(F.col("_metadata.file_name").rlike(name_regex))
+        sized = named.select(_file_path().alias("path"), F.col("_metadata.file_size").alias("file_size"))
+    every = _indexed_paths(frame)
+    if name_regex:
+        every = every.where(F.substring_index("path", "/", -1).rlike(name_regex))
+    empty = every.join(sized.select("path"), "path", "left_anti").withColumn("file_size", F.lit(0).cast("long"))
+    return sized.unionByName(empty)
 
 
 def read_documents(
     spark: SparkSession, globs: Sequence[str], name_regex: str | None = None
 ) -> DataFrame:
-    """``(path, content)``, one row per file of any size.
+    """``(path, content)``, one row per file of any size that can be read.
 
-    A quoted cell may hold line breaks, so only a whole file can be cut into records.
+    A quoted cell may hold line breaks, so only a whole file can be cut into records. Files without
+    a byte, broken ones and those that go while the job runs have no row; ``unread`` tells them.
     """
-    frame = _load(spark, "text", globs, name_regex, wholetext="true")
+    frame = _load(
+        spark, "text", globs, name_regex, wholetext="true", ignoreCorruptFiles="true", ignoreMissingFiles="true"
+    )
     if frame is None:
         return spark.createDataFrame([], "path string, content string")
     return frame.select(_file_path().alias("path"), F.col("value").alias("content"))
 
 
+def unread(documents: DataFrame, listed: DataFrame) -> DataFrame:
+    """``(path, content)`` of each file of the inventory ``listed`` that has no row in ``documents``.
+
+    Its content is empty where the file is, else NULL: it could not be read. The parsers turn both into warnings.
+    """
+    missing = listed.join(documents.select("path"), "path", "left_anti")
+    return missing.select("path", F.when(F.col("file_size") == 0, F.lit("")).alias("content"))
+
+
 def plain_root(spark: SparkSession, root: str) -> str:
     """Absolute path of a folder as it stands in the paths of its files."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)

@@ -20,6 +20,8 @@ from scalargrid.operators.keyed import KEY_ROWS, attach
 from scalargrid.runtime import stage
 
 EMPTY_FILE = "No columns to parse from file"
+UNREADABLE = "the file cannot be read"
+NOT_UTF8 = "the file is no UTF-8 text"
 LONG_ROW = "Error tokenizing data: a row has more cells than the header"
 
 # A cell that starts with a quote goes on to the quote that closes it, past separators and line
@@ -99,12 +101,14 @@ def table_rows(
     if first is not None:
         lines = f"slice({lines}, 1, {first + 1})"
     problem = f"""
-        case when size(_lines) = 0 then '{EMPTY_FILE}'
+        case when _text is null then '{UNREADABLE}'
+             when not is_valid_utf8(_text) then '{NOT_UTF8}'
+             when size(_lines) = 0 then '{EMPTY_FILE}'
              when exists(_lines, line -> {_width("line")} > {_width("get(_lines, 0)")}) then '{LONG_ROW}'
         end"""
     parsed = (
         docs.selectExpr(*others, f"{_without_bom('content')} as _text")
-        .selectExpr(*others, f"{lines} as _lines")
+        .selectExpr(*others, "_text", f"{lines} as _lines")
         .selectExpr(*others, "_lines", f"{problem} as problem")
         .selectExpr(
             *others,

@@ -229,3 +229,50 @@ def test_landing_parses_each_file_once(spark, tmp_path):
         land_rows(stream_documents(spark, str(source), r"_bundle_means\.tsv$"), table_dir, checkpoint).awaitTermination()
         assert spark.read.parquet(table_dir).count() == i + 1
 
+
+
+def test_files_that_cannot_be_used_are_warnings(spark, tmp_path):
+    """Without a byte, no UTF-8 text, broken (a wrong checksum): each is told, and the job goes on."""
+    inside = tmp_path / "recon" / "qsirecon-W" / "sub-1"
+    good = "bundle_name\tmean_fa\nArc\t1\n"
+    for visit, text in (("a", good), ("b", ""), ("c", good), ("d", good)):
+        write(inside / f"ses-{visit}" / "dwi" / "t_bundle_means.tsv", text)
+    broken = write(inside / "ses-c" / "dwi" / "t_bundle_means.tsv", good)
+    (broken.parent / ".t_bundle_means.tsv.crc").write_bytes(b"crc\x00\x00\x00\x02\x00\x01\x02\x03\x04")
+    (inside / "ses-d" / "dwi" / "t_bundle_means.tsv").write_bytes(b"\xff\xfe" + good.encode())
+    write(inside / "ses-a" / "dwi" / "m_model-noddi_param-od_dwimap.json", "")
+    quality = tmp_path / "prep" / "sub-1" / "ses-a" / "dwi"
+    write(quality / "x_desc-image_qc.tsv", "")
+    write(quality / "x_confounds.tsv", "")
+    write(tmp_path / "prep" / "sub-1" / "sessions.tsv", "")
+    done = build(spark, str(tmp_path / "prep"), str(tmp_path / "recon"))
+    log_rows = {r["session"]: (r["status"], r["warnings"]) for r in done.run_log.collect()}
+    assert [k for k in log_rows] and log_rows["ses-a"][0] == "partial"
+    for visit, reason in (("b", "No columns to parse from file"), ("c", "the file cannot be read"), ("d", "the file is no UTF-8 text")):
+        status, warnings = log_rows[f"ses-{visit}"]
+        assert status == "missing" and "parse_error:t_bundle_means.tsv:Could not read " in warnings and reason in warnings
+    for kind in ("dwimap_json_error", "qc_error", "confounds_error", "sessions_error"):
+        assert kind in log_rows["ses-a"][1], kind
+    assert {(r["session"], r["value"]) for r in done.table.collect() if r["scalar_present"]} == {("ses-a", 1.0)}
+
+
+def test_tables_that_were_passed_over_are_not_copied(spark, tmp_path):
+    inside = tmp_path / "recon" / "qsirecon-W" / "sub-1" / "ses-a" / "dwi"
+    write(inside / "t_bundle_means.tsv", "bundle_name\tmean_fa\nArc\t1\n")
+    write(inside / "t_bundles-x_scalarstats.csv", "bundle,fa\nArc,2\n")
+    (tmp_path / "prep").mkdir()
+    done = build(spark, str(tmp_path / "prep"), str(tmp_path / "recon"), work_dir=str(tmp_path / "work"))
+    copied = [r["path"] for p in (tmp_path / "work").glob("recon_texts-*") for r in spark.read.parquet(str(p)).collect()]
+    assert [c.rpartition("/")[2] for c in copied] == ["t_bundle_means.tsv"] and done.table.count() == 1
+
+
+def test_listing_has_files_without_a_byte(spark, tmp_path):
+    (tmp_path / "a b").mkdir()
+    (tmp_path / "a b" / "x+1%.tsv").write_text("")
+    (tmp_path / "a b" / "y.tsv").write_text("12")
+    (tmp_path / "z.json").write_text("")
+    rows = {(r["path"].rpartition("/")[2], r["file_size"]) for r in files.list_files(spark, [str(tmp_path)], r"\.tsv$").collect()}
+    assert rows == {("x+1%.tsv", 0), ("y.tsv", 2)}
+    read = files.read_documents(spark, [str(tmp_path)])
+    missing = {(r["path"].rpartition("/")[2], r["content"]) for r in files.unread(read, files.list_files(spark, [str(tmp_path)])).collect()}
+    assert missing == {("x+1%.tsv", ""), ("z.json", "")}
