@@ -11,6 +11,12 @@ EDGE = [
     (13, "le chat est sur la table avec le chien", "fr", "c"), (100, "ab cd", "fr", "c"), (14, "7" * 30_000, "en", "a"),
 ]
 
+# Vectors of three dimensions, two of them equal; the others are NULL, incomplete or not finite.
+VECTORS = [(i, v, 0, i, None) for i, v in enumerate([
+    [0.5, 1.0, -2.0], [0.25, -1.0, 2.0], [0.25, -1.0, 2.0], [3.0, 0.125, 1.0], [1.5, 2.5, 0.0], None, [], [1.0, 2.0], [None, 1.0, 2.0],
+    [float("nan"), 1.0, 2.0], [1.0, float("-inf"), 2.0],
+])]
+
 
 def odd_rows(ids) -> list[str]:
     return sorted(map(str, ids))

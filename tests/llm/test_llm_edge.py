@@ -12,7 +12,7 @@ import corpus_pipeline
 from llm_rows import EDGE, odd_rows
 from scalargrid.llm.queries import QUERIES
 
-PER_ROW = [n for n in QUERIES if n.split("_")[0] not in ("op6", "op7")]
+PER_ROW = [n for n in QUERIES if n.split("_")[0] not in ("op6", "op7", "op11")]
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +28,7 @@ def test_a_row_for_every_row(results, name):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables(spark, empty_dir, name):
     got = QUERIES[name](spark, empty_dir)
-    assert got.count() == 0 and "doc_id" in got.columns
+    assert got.count() == 0 and ("vec_id" if name.startswith("op11") else "doc_id") in got.columns
 
 
 def by_id(rows):
@@ -106,6 +106,12 @@ def test_exact_groups(results):
     assert not rows[4]["kept"] and rows[12]["kept"] and rows[12]["group_size"] == 1
 
 
+def test_whitening(results):
+    rows = results["op11_chebyshev_whitening"]
+    assert {(r["vec_id"], r["component"]) for r in rows} == {(i, c) for i in range(5) for c in (1, 2, 3)} and {r["n"] for r in rows} == {5}
+    assert max(r["identity_error"] for r in rows) < 1e-9
+
+
 def test_stages(spark, edge_dir, empty_dir, tmp_path):
     for folder in (edge_dir, empty_dir):
         docs = spark.read.parquet(f"{folder}/documents.parquet")
