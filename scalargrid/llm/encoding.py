@@ -13,6 +13,7 @@ import re
 from array import array
 from functools import lru_cache
 from itertools import islice
+from operator import attrgetter
 
 # Chunks remembered per Python worker, about 200 bytes each, with half as many pieces.
 KEEP_CHUNKS = 900_000
@@ -24,26 +25,10 @@ _SPACED = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _MARKS = r'!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~'
 _PLAIN = re.compile(f" ?[{_LETTERS}0-9{_MARKS}]+")
-
-
-class _Pieces(dict):
-    """Ids of one pre-tokenised piece, by the library's model."""
-
-    def __init__(self, tokenizer, lower: bool, keep: int) -> None:
-        self._model, self._lower, self._keep = tokenizer.model, lower, keep
-        # Byte-level models read bytes as printable characters: those outside these ranges move up by 256.
-        printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        rest = [b for b in range(256) if b not in printable]
-        self._bytes = {b: 256 + i for i, b in enumerate(rest)}
-
-    def __missing__(self, piece: str) -> bytes:
-        text = piece.lower() if self._lower else piece
-        shown = text.encode().decode("latin-1").translate(self._bytes)
-        ids = array("I", [t.id for t in self._model.tokenize(shown)]).tobytes()
-        if len(self) >= self._keep:
-            _halve(self)
-        self[piece] = ids
-        return ids
+# Byte-level models read bytes as printable characters: all outside these ranges are numbered from 256.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_id = attrgetter("id")
 
 
 def _halve(known: dict) -> None:
@@ -54,7 +39,7 @@ def _halve(known: dict) -> None:
 
 
 class ChunkEncoder(dict):
-    """Texts to little-endian unsigned 32-bit ids, with at most ``keep`` chunks remembered.
+    """Texts to little-endian unsigned 32-bit ids, with ``keep`` chunks and half as many pieces remembered at most.
 
     ``spaced``: byte-level vocabularies keep white space, and a space belongs to the piece
     behind it. Otherwise white space only separates, and letters are lower-cased.
@@ -68,15 +53,19 @@ class ChunkEncoder(dict):
         added = self._tokenizer.get_added_tokens_decoder().values()
         self._added = [t.content for t in added]
         self._whole = any(t.normalized for t in added)  # such tokens may stand in a text in other forms
-        self._spaced, self._keep = spaced, keep
-        self._pieces = _Pieces(self._tokenizer, not spaced, keep // 2)
+        self._spaced, self._keep = spaced, keep + keep // 2
+        self._model = self._tokenizer.model
         self._split = re.compile(
             f" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+" if spaced else f"[{_LETTERS}]+|[0-9]|[{_MARKS}]+"
         ).findall
 
     def __missing__(self, chunk: str) -> bytes:
-        if _PLAIN.fullmatch(chunk):
-            ids = b"".join(map(self._pieces.__getitem__, self._split(chunk)))
+        # A piece is a chunk as well: one that is a piece of itself goes to the model.
+        if chunk.isascii() and chunk.isalpha():
+            ids = self._by_model(chunk)
+        elif _PLAIN.fullmatch(chunk):
+            pieces = self._split(chunk)
+            ids = self._by_model(chunk) if pieces == [chunk] else b"".join(map(self.__getitem__, pieces))
         else:
             ids = self._by_library(chunk)
         if len(self) >= self._keep:
@@ -84,6 +73,12 @@ class ChunkEncoder(dict):
         self[chunk] = ids
         return ids
 
+    def _by_model(self, piece: str) -> bytes:
+        text = piece if self._spaced else piece.lower()
+        if not (text.isascii() and text.isprintable()) or " " in text:
+            text = text.encode().decode("latin-1").translate(_SHOWN)
+        return array("I", map(_id, self._model.tokenize(text))).tobytes()
+
     def _by_library(self, text: str) -> bytes:
         return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 

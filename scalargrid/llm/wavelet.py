@@ -34,9 +34,9 @@ class WaveletMatrix:
             ones = (current & current.dtype.type(1 << (levels - 1 - level))) != 0
             packed = np.packbits(ones, bitorder="little")
             planes[level, : len(packed)] = packed
-            low = current[~ones]
+            low = np.compress(~ones, current)
             zeros[level] = len(low)
-            current = np.concatenate([low, current[ones]])
+            current = np.concatenate([low, np.compress(ones, current)])
         counts = np.bitwise_count(planes.reshape(levels, -1, BLOCK_BITS // 8)).sum(axis=2, dtype=np.uint32)
         ranks = np.zeros((levels, counts.shape[1] + 1), dtype=np.uint32)
         np.cumsum(counts, axis=1, out=ranks[:, 1:])
@@ -64,14 +64,13 @@ class WaveletMatrix:
     def decode(self) -> np.ndarray:
         """All ids in order, by undoing the splits from the lowest plane up."""
         kind = np.uint16 if self.levels <= 16 else np.uint32
-        current = np.zeros(self.length, dtype=kind)
+        current, before = np.zeros((2, self.length), dtype=kind)
         for level in range(self.levels - 1, -1, -1):
             ones = np.unpackbits(self.planes[level], count=self.length, bitorder="little").view(bool)
-            before = np.empty_like(current)
             split = int(self.zeros[level])
-            before[~ones] = current[:split]
-            before[ones] = current[split:] | kind(1 << (self.levels - 1 - level))
-            current = before
+            current[split:] |= kind(1 << (self.levels - 1 - level))
+            before[np.flatnonzero(~ones)], before[np.flatnonzero(ones)] = current[:split], current[split:]
+            current, before = before, current
         return current
 
     def _bit(self, level: int, i: int) -> int:
