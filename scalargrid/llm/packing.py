@@ -2,7 +2,7 @@
 
 Every document is tokenised and gets an end id. A longer one than a sequence is cut into whole
 sequences from its end, so that only the first piece may be shorter. Whole pieces are sequences
-of their own. The other pieces are dealt into groups of about ``GROUP_PIECES`` by a hash of the
+of their own (with negative numbers) and are not shuffled. The other pieces are dealt into groups of about ``GROUP_PIECES`` by a hash of the
 document, and each group is packed longest piece first: every open sequence that can take the
 piece under *all* capacities (tokens, documents, attention cost) is scored by the norm of what
 would be left in it, each capacity as a share and weighted, and the smallest is taken. A group
@@ -115,21 +115,20 @@ def pack(
     max_cost: int = MAX_COST, group_pieces: int = GROUP_PIECES,
 ) -> DataFrame:
     """Give every row of ``pieces`` a sequence and a place in it."""
-    count = cut.where(F.col("length") < max_tokens).count()
-    groups = max(1, round(count / group_pieces))
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    short, whole = cut.where(F.col("length") < max_tokens), cut.where(F.col("length") >= max_tokens)
+    groups = max(1, round(short.count() / group_pieces))
 
     def fill(rows: pd.DataFrame) -> pd.DataFrame:
-        whole = (rows["length"] >= max_tokens).to_numpy()
-        rows = pd.concat([rows[whole], rows[~whole].sort_values(["length", "doc_id", "copy"], ascending=[False, True, True])])
-        n = int(whole.sum())
-        bins, offsets = best_fit(rows["length"].to_numpy()[n:], max_tokens, max_documents, max_cost)
-        number = np.concatenate([np.arange(n), n + bins])
-        rows["sequence_id"] = (rows["pack_group"].to_numpy().astype(np.int64) << 40) + number
-        rows["offset"] = np.concatenate([np.zeros(n, dtype=np.int64), offsets])
-        return rows[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
+        rows = rows.sort_values(["length", "doc_id", "copy"], ascending=[False, True, True])
+        bins, rows["offset"] = best_fit(rows["length"].to_numpy(), max_tokens, max_documents, max_cost)
+        rows["sequence_id"] = (rows["pack_group"].to_numpy().astype(np.int64) << 40) + bins
+        return rows[[*columns, "sequence_id", "offset"]]
 
     group = F.pmod(F.xxhash64("doc_id", "copy", "piece"), F.lit(groups)).cast("int")
-    return cut.withColumn("pack_group", group).groupBy("pack_group").applyInPandas(fill, _PACKED)
+    filled = short.withColumn("pack_group", group).groupBy("pack_group").applyInPandas(fill, _PACKED)
+    alone = (-1 - F.monotonically_increasing_id()).alias("sequence_id")
+    return filled.unionByName(whole.select(*columns, alone, F.lit(0).cast("long").alias("offset")))
 
 
 def packed(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None, keep: int = KEEP_CHUNKS) -> DataFrame:
