@@ -13,9 +13,13 @@ point, in round r to the r-th next. Counts per arc are one small aggregate of at
 ``shards * VIRTUAL_NODES`` rows, and so the plan is made on them alone. Where a document lands
 follows from its rank within its arc; ranks come from short pieces of the ring (``CELLS`` even
 cells, cut at the points), with counts summed along the arc, so that no task sees a whole arc.
+Rows that repeat one ``doc_id`` share a place of the ring. Where they are far more than a piece
+has on average, the piece is cut before and behind that place, and its rows are dealt evenly into
+parts, which follow one another; there can be no more such places than a quarter of the pieces.
 
 Defined results: NULL texts have size 1 and crc32 0; a NULL ``doc_id`` has a hash like any
-other; rows that repeat a ``doc_id`` lie side by side on the ring and each take a slot; an empty
+other; rows that repeat a ``doc_id`` lie side by side on the ring, those of a crowded place in no
+fixed order, and each take a slot; an empty
 table gives no rows; other columns are not read.
 """
 
@@ -23,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
+from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,6 +39,7 @@ VIRTUAL_NODES = 64
 RING_BITS = 60
 CELL_BITS = 13
 CELLS = 1 << CELL_BITS
+CROWD = 50_000  # a piece with fewer rows is never cut
 
 
 def ring(shards: int, virtual_nodes: int = VIRTUAL_NODES) -> list[tuple[int, int]]:
@@ -86,7 +92,30 @@ def stretches(points: list[tuple[int, int]], cells: int = CELLS) -> list[tuple[i
     return found
 
 
-def assign(docs: DataFrame, shards: int = SHARDS, virtual_nodes: int = VIRTUAL_NODES) -> DataFrame:
+def uncrowded(rows: DataFrame, sizes: dict[int, int], pieces: int, crowd: int = CROWD) -> DataFrame:
+    """``rows`` with ``level`` and ``part``, which follow the ring within a piece and cut crowded places.
+
+    ``rows`` is staged and has ``piece``, ``place`` and ``salt``, a number of its own for each row.
+    """
+    most = max(crowd, 4 * sum(sizes.values()) // pieces)
+    full = [(p,) for p, n in sizes.items() if n > most]  # fewer than a quarter of the pieces
+    if not full:
+        return rows.withColumns({"level": F.lit(0), "part": F.lit(0)})
+    spark = rows.sparkSession
+    seen = rows.join(F.broadcast(spark.createDataFrame(full, "piece int")), "piece").groupBy("piece", "place").agg(F.count("*").alias("n"))
+    cuts = seen.where(F.col("n") > most).groupBy("piece").agg(
+        F.collect_list(F.struct("place", F.ceil(F.col("n") / most).cast("int").alias("parts"))).alias("cuts")
+    )
+    cut = rows.join(F.broadcast(stage(cuts, "crowded")), "piece", "left")
+    below = F.size(F.filter("cuts", lambda c: c["place"] < F.col("place")))
+    own = F.get(F.filter("cuts", lambda c: c["place"] == F.col("place")), 0)["parts"]
+    return cut.withColumns({
+        "level": F.when(F.col("cuts").isNull(), 0).otherwise(2 * below + F.when(own.isNull(), 0).otherwise(1)),
+        "part": F.when(own.isNull(), 0).otherwise(F.pmod(F.xxhash64("salt"), own)).cast("int"),
+    }).drop("cuts")
+
+
+def assign(docs: DataFrame, shards: int = SHARDS, virtual_nodes: int = VIRTUAL_NODES, crowd: int = CROWD) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot`` of every row."""
     spark = docs.sparkSession
     points = ring(shards, virtual_nodes)
@@ -100,19 +129,26 @@ def assign(docs: DataFrame, shards: int = SHARDS, virtual_nodes: int = VIRTUAL_N
     ).withColumn("cell", F.shiftright("place", RING_BITS - CELL_BITS).cast("int"))
     within = (F.col("place") >= F.col("low")) & (F.col("place") <= F.col("high"))
     placed = sized.join(F.broadcast(known.withColumnRenamed("cell", "_cell")), (F.col("cell") == F.col("_cell")) & within)
-    staged = stage(placed.select("doc_id", "size", "text_crc32", "place", "piece"), "ring")
-    sizes = dict(map(tuple, staged.groupBy("piece").count().collect()))  # as many as there are pieces at most
+    salted = placed.select("doc_id", "size", "text_crc32", "place", "piece", F.monotonically_increasing_id().alias("salt"))
+    staged = stage(salted, "ring")
+    # As many as there are pieces at most; with crowded places cut, less than three times as many.
+    cut = uncrowded(staged, dict(map(tuple, staged.groupBy("piece").count().collect())), len(pieces), crowd)
+    sizes = defaultdict(list)
+    for piece, level, part, n in sorted(map(tuple, cut.groupBy("piece", "level", "part").count().collect())):
+        sizes[piece].append((level, part, n))
     # An arc is passed clockwise: the stretch past the last point comes before the start of the ring.
     wrapped = [p for p in pieces if p[4] == 0 and p[2] > points[-1][0]]
     counts, before = [0] * len(points), []
     for _, piece, _, _, arc in [*wrapped, *(p for p in pieces if p not in set(wrapped))]:
-        before.append((piece, arc, counts[arc]))
-        counts[arc] += sizes.get(piece, 0)
+        for level, part, n in sizes[piece]:
+            before.append((piece, level, part, arc, counts[arc]))
+            counts[arc] += n
     segments = plan(counts, [s for _, s in points], capacities(sum(counts), shards))
-    starts = spark.createDataFrame(before, "piece int, arc int, before long")
+    starts = spark.createDataFrame(before, "piece int, level int, part int, arc int, before long")
     parts = spark.createDataFrame(segments, "_arc int, first long, end long, shard int, base long")
-    order = Window.partitionBy("piece").orderBy("place", "doc_id", "text_crc32", "size")
-    ranked = staged.withColumn("_place", F.row_number().over(order)).join(F.broadcast(starts), "piece")
+    run = ["piece", "level", "part"]
+    order = Window.partitionBy(*run).orderBy("place", "doc_id", "text_crc32", "size", "salt")
+    ranked = cut.withColumn("_place", F.row_number().over(order)).join(F.broadcast(starts), run)
     ranked = ranked.withColumn("rank", F.col("before") + F.col("_place") - 1)
     taken = (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end"))
     return ranked.join(F.broadcast(parts), (F.col("arc") == F.col("_arc")) & taken).select(
