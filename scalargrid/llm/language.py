@@ -7,7 +7,7 @@ many places each is out of place, ``PROFILE`` for one that is missing. The neare
 
 Learning counts n-grams inside tasks and adds the counts up by language and n-gram; only the
 profiles themselves, ``PROFILE`` rows per language, come to the driver. Text is counted in pieces
-of ``_STEP`` characters, whatever its length.
+of ``_STEP`` characters, which changes no count: n-grams across a cut belong to the piece behind it.
 
 Defined results: NULL texts and texts without a letter are ``und`` with score 0, and so is
 everything if there is nothing to learn from; equal distances go to the first language by name,
@@ -40,33 +40,43 @@ def _letters() -> np.ndarray:
     return np.array([chr(i).isalpha() for i in range(0x110000)])
 
 
-def _codes(text: str) -> np.ndarray:
-    """Code points of the lower-cased text; each run of other characters and both ends become one edge."""
-    raw = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    letter = _letters()[raw]
-    codes = np.where(letter, raw, _EDGE).astype(np.int64)
-    return codes[letter | np.concatenate([[True], letter[:-1]])]
+def _grams(text: str, step: int) -> Iterator[np.ndarray]:
+    """All n-grams of the lower-cased text, piece by piece; each run of other characters and both ends become one edge."""
+    rest = text.lower() + " "
+    tail = np.array([_EDGE], dtype=np.int64)  # the last two codes before a piece
+    for at in range(0, len(rest), step):
+        raw = np.frombuffer(rest[at : at + step].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        letter = _letters()[raw]
+        codes = np.where(letter, raw, _EDGE).astype(np.int64)
+        codes = codes[letter | np.concatenate([[tail[-1] != _EDGE], letter[:-1]])]
+        if len(codes):
+            joined = np.concatenate([tail, codes])
+            two = joined[:-1] << _BITS | joined[1:]
+            yield np.concatenate([codes[codes != _EDGE], two[len(tail) - 1 :], two[:-1] << _BITS | joined[2:]])
+            tail = joined[-2:]
 
 
-def _grams(codes: np.ndarray) -> np.ndarray:
-    two = codes[:-1] << _BITS | codes[1:]
-    return np.concatenate([codes[codes != _EDGE], two, two[:-1] << _BITS | codes[2:]])
-
-
-def count_grams(texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+def count_grams(texts: Iterable[str], step: int = _STEP) -> tuple[np.ndarray, np.ndarray]:
     """Different n-grams of the texts, ascending, and how often they occur."""
     known, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    waiting: list[np.ndarray] = []
+    size = 0
+
+    def added() -> tuple[np.ndarray, np.ndarray]:
+        new, n = np.unique(np.concatenate(waiting), return_counts=True)
+        if not len(known):
+            return new, n
+        both, place = np.unique(np.concatenate([known, new]), return_inverse=True)
+        return both, np.bincount(place, np.concatenate([counts, n])).astype(np.int64)
+
     for text in texts:
-        for at in range(0, max(1, len(text)), _STEP):
-            part = _codes(text[at : at + _STEP])
-            if len(part) > 1:
-                new, n = np.unique(_grams(part), return_counts=True)
-                if len(known):
-                    both, place = np.unique(np.concatenate([known, new]), return_inverse=True)
-                    known, counts = both, np.bincount(place, np.concatenate([counts, n])).astype(np.int64)
-                else:
-                    known, counts = new, n
-    return known, counts
+        for grams in _grams(text, step):
+            waiting.append(grams)
+            size += len(grams)
+            if size >= step:
+                known, counts = added()
+                waiting, size = [], 0
+    return added() if waiting else (known, counts)
 
 
 def most_frequent(known: np.ndarray, counts: np.ndarray, size: int = PROFILE) -> np.ndarray:
@@ -80,7 +90,7 @@ def profiles(learned: DataFrame, size: int = PROFILE) -> dict[str, list[int]]:
         sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
         def add(lang: str, texts: list[str]) -> None:
-            known, counts = count_grams([" ".join(texts)])
+            known, counts = count_grams(texts)
             if lang in sums:
                 both, place = np.unique(np.concatenate([sums[lang][0], known]), return_inverse=True)
                 sums[lang] = both, np.bincount(place, np.concatenate([sums[lang][1], counts])).astype(np.int64)
