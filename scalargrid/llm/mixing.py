@@ -15,7 +15,8 @@ by hash. ``mix_order`` spreads every source evenly over the whole stream.
 The plan is a row per source, pass and block, and says up to which hash documents of the block are
 taken. So documents meet it by an equality on source and block, and no text is shuffled or sorted.
 Sums are taken per source and block: a source with a third of all rows is dealt over ``blocks``
-groups, and only block sums are ordered per source.
+groups, and only block sums are ordered per source. In a block that is cut, sums of parts tell in
+which part the budget ends, and only that one, a millionth of the source, is ordered by document.
 
 Defined results: NULL texts have no tokens, and no budget is spent on them; they are in the first
 pass like any other; a NULL source is a source of its own; rows that repeat a ``doc_id`` are taken
@@ -34,6 +35,7 @@ from scalargrid.llm.common import documents, stage
 
 MAX_REPEATS = 1.5
 BLOCKS = 256
+PART_BITS = 12  # a block in which a budget ends is summed in 4,096 parts first
 SENT_ROWS = 200_000  # of a plan that is broadcast, about 60 bytes each
 
 
@@ -133,10 +135,22 @@ def mixture(docs: DataFrame, max_repeats: float | None = MAX_REPEATS, target_ent
     )
     # One block per source and pass is cut at most: its first documents in turn, as far as the budget goes.
     cut = rows.join(used.where(~F.col("whole")), ["source_key", "block"]).withColumn("turn", _turn(F.col("id"), F.col("copy")))
-    within = Window.partitionBy("source_key", "copy").orderBy("turn", "id", "tokens").rowsBetween(Window.unboundedPreceding, 0)
-    last = cut.withColumn("upto", F.sum("tokens").over(within)).where(F.col("upto") - F.col("tokens") < F.col("room")).groupBy(
-        "source_key", "copy"
-    ).agg(F.max("turn").alias("last"))
+    one = ["source_key", "copy"]
+    turns = stage(
+        cut.groupBy(*one, "turn").agg(F.sum("tokens").alias("tokens"), F.max("room").alias("room")).withColumn(
+            "part", F.shiftright("turn", 64 - PART_BITS)
+        ), "mix-turns",
+    )
+    # First the part of the block in which the budget ends, by sums, then the place in it.
+    until = Window.partitionBy(*one).orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    parts = turns.groupBy(*one, "part").agg(F.sum("tokens").alias("tokens"), F.max("room").alias("room")).withColumn(
+        "passed", F.sum("tokens").over(until) - F.col("tokens")
+    ).where("passed < room")
+    ends = parts.groupBy(*one).agg(F.max("part").alias("part"), F.max("passed").alias("passed"))
+    within = Window.partitionBy(*one).orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
+    last = turns.join(ends, [*one, "part"]).withColumn("upto", F.col("passed") + F.sum("tokens").over(within)).where(
+        F.col("upto") - F.col("tokens") < F.col("room")
+    ).groupBy(*one).agg(F.max("turn").alias("last"))
     plan = used.join(last, ["source_key", "copy"], "left").select(
         "source_key", "block", "copy", "weight", "rank", "times", F.when(F.col("whole"), F.lit(2**63 - 1)).otherwise(F.col("last")).alias("last")
     )
