@@ -8,11 +8,13 @@ texts that links connect form a component.
 * A node has a SimHash of ``BITS`` bits. At similarity 0.8 its sets are 27 degrees apart, so about
   39 of 256 bits differ, while unrelated sets differ in about 128.
 * A key is a Golay codeword of a segment of 23 bits (words of odd parity also give the codewords 4
-  bits away) with some equal bits from elsewhere. The more nodes, the more equal bits and the more
-  tables of keys, so that groups stay small and ``RECALL`` of the pairs at 0.8 would share
-  a key if tables were independent.
-* Nodes of a key within ``RADIUS`` bits are linked into a forest. This may link too much, so it
-  makes only the *areas* within which shingle sets are compared; links of sets are exact.
+  bits away) with some equal bits from elsewhere. ``GROUP`` unrelated nodes may share one: comparing
+  SimHashes costs less than more keys. Up to 600,000 nodes need no equal bits and one table for each of
+  nine segments; beyond, every doubling takes one more bit, which leaves the groups as they are and
+  makes keys a node grow with the fourth root of the number of nodes. ``RECALL`` of the pairs at 0.8
+  would share a key if tables were independent.
+* A key carries the SimHash, and nodes of a key within ``RADIUS`` bits are linked into a forest. This may
+  link too much, so it makes only the *areas* within which shingle sets are compared; links of sets are exact.
 
 Crowded keys and large areas are cut into blocks of which every two meet, as in ``simhash``; an area of
 many blocks sends each text once per block. What is left to chance is only which pairs share a key.
@@ -44,9 +46,12 @@ RADIUS = 68
 RECALL = 0.99
 # At similarity 0.8: the chance that a bit is equal, and that segments of 23 bits share a codeword.
 _SAME_BIT, _SAME_CODEWORD = 0.8485, 0.403
+_CODEWORDS, _KEYS = 4096, 3.5  # of a segment; of a node in a table, on average
+GROUP = 512  # unrelated nodes that may share a key, on average
 BLOCK = 4096  # nodes of a key
 AREA_NODES, AREA_CHARS = 1024, 16_000_000  # a block of an area
 _STEP = 20_000  # shingles counted at once
+_ROWS = 64  # SimHashes compared with all others of a group at once
 
 
 def shingles(text: str | None, words: int = WORDS) -> list[bytes]:
@@ -104,7 +109,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 def tables_for(nodes: int) -> tuple[int, int]:
     """Equal bits in a key and number of tables, for so many nodes."""
-    equal = min(28, max(4, math.ceil(math.log2(nodes + 1)) - 9))
+    equal = min(28, max(0, math.ceil(math.log2(max(1.0, _KEYS * nodes / _CODEWORDS / GROUP)))))
     chance = _SAME_CODEWORD * _SAME_BIT**equal
     return equal, math.ceil(math.log(1 - RECALL) / math.log(1 - chance))
 
@@ -156,9 +161,28 @@ def forest(count: int, near: Callable[[int, np.ndarray], np.ndarray]) -> list[tu
     return links
 
 
+def accompanied(prints: np.ndarray, radius: int = RADIUS) -> np.ndarray:
+    """True for SimHashes (rows of unsigned 64-bit words) with another one within ``radius`` bits."""
+    words = np.ascontiguousarray(prints.T)
+    found = np.zeros(len(prints), dtype=bool)
+    for at in range(0, len(prints), _ROWS):
+        end = min(at + _ROWS, len(prints))
+        apart = np.zeros((end - at, len(prints) - at), dtype=np.uint16)
+        for word in words:
+            apart += np.bitwise_count(word[at:end, None] ^ word[None, at:])
+        near = apart <= radius
+        np.fill_diagonal(near, False)
+        found[at:end] |= near.any(axis=1)
+        found[at:] |= near.any(axis=0)
+    return found
+
+
 def print_links(prints: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
-    """Forest of SimHashes (rows of unsigned 64-bit words) within ``radius`` bits."""
-    return forest(len(prints), lambda i, rest: np.bitwise_count(prints[rest] ^ prints[i]).sum(axis=1, dtype=np.int64) <= radius)
+    """Forest of SimHashes (rows of unsigned 64-bit words) within ``radius`` bits; most have none near."""
+    own = np.flatnonzero(accompanied(prints, radius))
+    some = prints[own]
+    links = forest(len(own), lambda i, rest: np.bitwise_count(some[rest] ^ some[i]).sum(axis=1, dtype=np.int64) <= radius)
+    return [(int(own[a]), int(own[b])) for a, b in links]
 
 
 def set_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -245,13 +269,14 @@ def area_links(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 keys, owners = golay_keys(_bytes(part.column(1), BITS // 8), equal, tables)
-                names = part.column(0).to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(names[owners])], names=["key", "node"])
-
-    keys = nodes.mapInArrow(keyed, "key long, node long")
-    shared = stage(keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "near-keys")
-    met = keys.join(shared, "key").withColumn("parts", F.ceil(F.col("m") / block).cast("int"))
-    grouped = _meet(met, "key", ["node"]).join(nodes, "node").select("group", "node", "fp")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys), *(part.column(i).take(pa.array(owners)) for i in (0, 1))], names=["key", "node", "fp"]
+                )
+
+    keys = nodes.mapInArrow(keyed, "key long, node long, fp binary")
+    crowded = stage(keys.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > block), "near-keys")
+    met = keys.join(crowded, "key", "left").withColumn("parts", F.ceil(F.coalesce("m", F.lit(1)) / block).cast("int"))
+    grouped = _meet(met, "key", ["node", "fp"])
     return grouped.repartition(n, "group").sortWithinPartitions("group").mapInArrow(_runs(_find_prints), "a long, b long")
 
 
