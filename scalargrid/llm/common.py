@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scalargrid.runtime import stage
 
-__all__ = ["attach", "documents", "held_out", "keep_rows", "partitions", "stage", "table"]
+__all__ = ["attach", "documents", "held_out", "keep_marked", "keep_rows", "partitions", "stage", "table", "whole_row"]
 
 # A key with at least one row in HEAVY_SHARE is heavy; there are at most HEAVY_SHARE such keys.
 HEAVY_SHARE = 2000
@@ -51,17 +51,26 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, columns: Sequence[str])
     return settled.unionByName(rest.join(cold, key, "left").select(*settled.columns))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of a row in one, so that names of other columns cannot clash with theirs."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def keep_rows(docs: DataFrame, mark: Column, decided: DataFrame) -> DataFrame:
-    """``docs`` without rows that are not kept, and with one of rows that a kept decision repeats.
+    """``docs`` without rows that are not kept, all columns as they were; see ``keep_marked``."""
+    return keep_marked(docs.select(whole_row(docs).alias("row"), F.col("doc_id").alias("key"), mark.alias("own")), decided)
+
+
+def keep_marked(rows: DataFrame, decided: DataFrame) -> DataFrame:
+    """What is in ``row`` of rows that are kept, and of one of rows that a kept decision repeats.
 
-    ``decided`` is staged, has a row per row of ``docs`` at most, and ``doc_id``, ``mark``, ``kept``.
-    A decision holds for rows of its ``doc_id`` (NULL is equal to NULL) and ``mark``; rows without
-    any stay. All columns come back as they were, whatever their names.
+    ``rows`` has ``row``, its ``doc_id`` as ``key``, and its mark as ``own``. ``decided`` is staged, has
+    a row per row of ``rows`` at most, and ``doc_id``, ``mark``, ``kept``. A decision holds for rows
+    of its ``doc_id`` (NULL is equal to NULL) and ``mark``; rows without any, or without a mark, stay.
     """
     sides = [F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")]
     dropped = decided.where(~F.col("kept")).select(*sides).distinct()
     again = decided.where("kept").groupBy(*sides).count().where("count > 1").drop("count")
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("key"), mark.alias("own"))
     same = F.col("key").eqNullSafe(F.col("_id")) & (F.col("own") == F.col("_mark"))
     left = rows.join(dropped, same, "left_anti")
     if again.isEmpty():

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scalargrid.llm.common import attach, documents, keep_rows, stage
+from scalargrid.llm.common import attach, documents, keep_marked, stage, whole_row
 
 PREFIX_CHARS = 128
 FILTER_BITS = 1 << 23
@@ -41,11 +41,11 @@ def _key() -> Column:
     return F.xxhash64("n_plain", "prefix")
 
 
-def _signed(docs: DataFrame) -> DataFrame:
+def _signed(docs: DataFrame, *others: Column) -> DataFrame:
     """Numbers that describe a text, and the text without white space."""
     plain = docs.select(
         F.col("doc_id").alias("doc_id"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_original"),
-        without_space(F.col("text")).alias("plain"),
+        without_space(F.col("text")).alias("plain"), *others,
     )
     return plain.select(
         "*", F.length("plain").alias("n_plain"),
@@ -70,22 +70,31 @@ def _filter(undecided: DataFrame) -> DataFrame:
     ).select("_map", "_bitmap")
 
 
-def hashed(docs: DataFrame, all_digests: bool = False) -> DataFrame:
-    """``doc_id, n_original, full`` and, if asked for, ``digest`` of every text; ``full`` is NULL where settled."""
-    bitmaps = stage(_filter(_undecided(docs)), "bitmaps")  # at most FILTER_BITS / _MAP_BITS rows
+def undecided_map(docs: DataFrame) -> DataFrame:
+    """Bitmaps of the texts that need round 3: at most ``FILTER_BITS`` / ``_MAP_BITS`` rows, staged."""
+    return stage(_filter(_undecided(docs)), "bitmaps")
+
+
+def _with_full(signed: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """``signed`` with ``full``, the SHA-256 of a text that the bitmaps hold, and NULL of any other."""
     bit = F.pmod(_key(), F.lit(FILTER_BITS))
-    rows = _signed(docs).select("*", (bit / _MAP_BITS).cast("int").alias("_map"), (bit % _MAP_BITS).cast("int").alias("_at"))
+    rows = signed.select("*", (bit / _MAP_BITS).cast("int").alias("_map"), (bit % _MAP_BITS).cast("int").alias("_at"))
     byte = F.conv(F.hex(F.expr("substring(_bitmap, int(_at div 8) + 1, 1)")), 16, 10).cast("int")
     maybe = F.coalesce(F.expr("shiftright(_byte, _at % 8)").bitwiseAND(F.lit(1)) == 1, F.lit(False))
     tested = rows.join(F.broadcast(bitmaps), "_map", "left").withColumn("_byte", byte)
-    full = F.when(maybe, F.sha2(F.col("plain").cast("binary"), 256)).alias("full")
+    return tested.withColumn("full", F.when(maybe, F.sha2(F.col("plain").cast("binary"), 256)))
+
+
+def hashed(docs: DataFrame, all_digests: bool = False, bitmaps: DataFrame | None = None) -> DataFrame:
+    """``doc_id, n_original, full`` and, if asked for, ``digest`` of every text; ``full`` is NULL where settled."""
+    tested = _with_full(_signed(docs), undecided_map(docs) if bitmaps is None else bitmaps)
     digest = [F.sha2(F.col("plain").cast("binary"), 256).alias("digest")] if all_digests else []
-    return stage(tested.select("doc_id", "n_original", full, *digest), "hashes")
+    return stage(tested.select("doc_id", "n_original", "full", *digest), "hashes")
 
 
-def exact_groups(docs: DataFrame, all_digests: bool = False) -> DataFrame:
+def exact_groups(docs: DataFrame, all_digests: bool = False, bitmaps: DataFrame | None = None) -> DataFrame:
     """``doc_id, full, keep_id, group_size, kept`` for every row (and ``digest``)."""
-    rows = hashed(docs, all_digests)
+    rows = hashed(docs, all_digests, bitmaps)
     groups = stage(
         rows.where(F.col("full").isNotNull()).groupBy("full").agg(
             F.count("*").alias("group_rows"),
@@ -102,9 +111,13 @@ def exact_groups(docs: DataFrame, all_digests: bool = False) -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all columns as they were."""
-    decided = stage(exact_groups(docs).where(F.col("full").isNotNull()).withColumnRenamed("full", "mark"), "decided")
-    return keep_rows(docs, F.sha2(without_space(F.col("text")).cast("binary"), 256), decided)
+    """``docs`` with one row of each group of equal texts, all columns as they were; hashes what round 3 hashes."""
+    bitmaps = undecided_map(docs)
+    decided = stage(
+        exact_groups(docs, bitmaps=bitmaps).where(F.col("full").isNotNull()).withColumnRenamed("full", "mark"), "decided"
+    )
+    marked = _with_full(_signed(docs, whole_row(docs).alias("row")), bitmaps)
+    return keep_marked(marked.select("row", F.col("doc_id").alias("key"), F.col("full").alias("own")), decided)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
