@@ -8,7 +8,7 @@ from zlib import crc32
 import xxhash
 from pyspark.sql import functions as F
 
-from scalargrid.llm import packing, sharding
+from scalargrid.llm import packing, sharding, sketches
 from scalargrid.llm.common import stage
 
 ROWS = 3000
@@ -99,3 +99,47 @@ def test_whole_pieces_stay_out_of_groups(spark):
     groups = Counter(s >> 40 for s, places in filled.items() for _ in places)
     assert min(groups) >= 0 and max(groups.values()) <= 200
     assert len(filled) <= 1.1 * sum(n for p in filled.values() for _, n in p) / limit + len(groups)
+
+
+def _followed(docs, ranges: int) -> tuple[Counter, list]:
+    """Ids, texts and their next texts, and the rows that windows saw."""
+    dealt, order, left_out = sketches.with_next(docs, ranges)
+    rows = dealt.withColumn("next", F.lead("text").over(order)).collect()
+    found = Counter((r.doc_id, r.hash, r.text, r.next) for r in rows if not r.guest)
+    hashes = {(r.doc_id, r.text): r.hash for r in rows}
+    if left_out is not None:
+        for r in sketches.repeated(left_out, 100).collect():
+            found[r.doc_id, hashes[r.doc_id, r.text], r.text, r.text] += 1
+    return found, rows
+
+
+def _line(found: Counter) -> Counter:
+    """What should follow what: by id, NULL first, then by hash and text."""
+    texts = sorted(((d is not None, d or 0, h, t), d) for (d, h, t, _), n in found.items() for _ in range(n))
+    return Counter((d, at[2], at[3], after[0][3]) for (at, d), after in zip(texts, [*texts[1:], *texts[:1]], strict=True))
+
+
+def test_next_documents_with_a_third_of_all_rows_on_one_id(spark):
+    """NULL ids hold a third of all rows, and half of those one text; ranges stay even, and each row has its next."""
+    rows = [(None, "the same" if i % 2 else f"null {i}") if i % 3 == 0 else (i, f"text {i}") for i in range(3000)]
+    rows += [(5, f"five {i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    for ranges in (1, 12, 40):
+        found, seen = _followed(docs, ranges)
+        own: Counter = Counter()
+        for (doc_id, _, text, _), n in found.items():
+            own[doc_id, text] += n
+        assert own == Counter(rows)
+        assert found == _line(found)
+        sizes = Counter(r.bucket for r in seen)
+        if ranges > 1:
+            assert max(sizes.values()) <= 3 * len(rows) / ranges
+            assert sum(sizes.values()) - len(rows) <= len(rows) / 20
+
+
+def test_next_documents_of_plain_and_odd_ids(spark):
+    far = [(2**62 + 3 * i if i % 3 else 2**61 + 1, f"t{i}") for i in range(200)]
+    for rows in (far, [], [(1, "a")], [(None, None)] * 5, [(3, "c"), (1, "a"), (2, None)], [(9, "x")] * 50 + [(10, "y")]):
+        found, _ = _followed(spark.createDataFrame(rows, "doc_id long, text string"), 8)
+        assert Counter((d, t) for (d, _, t, _), n in found.items() for _ in range(n)) == Counter((d, t or "") for d, t in rows)
+        assert found == _line(found)
