@@ -28,7 +28,7 @@ from scalargrid.operators.records import (
 from scalargrid.operators.sidecars import reduce_sidecars, sidecar_fields, sidecar_problems
 from scalargrid.runtime import remove_dir, shared_dir, stage
 from scalargrid.sources import files as src
-from scalargrid.sources import sinks
+from scalargrid.sources import sinks, versions
 from scalargrid.sources.patterns import DATASET_DESCRIPTION, QC_PATTERNS, SIDECAR_PATTERNS, FilePattern
 from scalargrid.sources.tables import table_rows
 
@@ -307,17 +307,27 @@ def run(
     *,
     parquet: bool = False,
     sort: bool = False,
+    keep_versions: int | None = None,
     **parameters,
 ) -> DataFrame:
-    """Build all outputs, write them below ``output_dir``, return the primary table."""
+    """Build all outputs, write them below ``output_dir``, return the primary table.
+
+    With ``keep_versions`` they become a new version there, which ``sources.versions.published`` names
+    once all of them are written; until then, and if the job fails, it names the former one.
+    """
+    if keep_versions is not None and keep_versions < 1:
+        raise ValueError("keep_versions must be at least 1")
     outputs = build(spark, preproc_dir, recon_dir, group_dir, **parameters)
     given = parameters.get("work_dir")
-    table = sinks.write_table(outputs.table, output_dir, parquet, sort)
+    target = output_dir if keep_versions is None else versions.new_version(output_dir)
+    table = sinks.write_table(outputs.table, target, parquet, sort)
     if outputs.dictionary is not None:
-        sinks.write_data_dictionary(outputs.dictionary, output_dir)
-    sinks.write_run_log(outputs.run_log, output_dir)
+        sinks.write_data_dictionary(outputs.dictionary, target)
+    sinks.write_run_log(outputs.run_log, target)
+    if keep_versions is not None:
+        versions.publish(spark, target, keep_versions)
     if not parquet:
-        table = sinks.read_table(table, output_dir)
+        table = sinks.read_table(table, target)
     if given is None:  # of no use any more: the primary table is read from its files
         remove_dir(spark, outputs.work_dir)
     return table
