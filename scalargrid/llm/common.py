@@ -1,4 +1,4 @@
-"""Reading, staging and keyed attachment shared by the operators of this folder."""
+"""Reading, staging, keyed attachment and bitmaps of keys shared by the operators of this folder."""
 
 from __future__ import annotations
 
@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 
 from scalargrid.runtime import stage
 
-__all__ = ["attach", "documents", "held_out", "keep_marked", "keep_rows", "partitions", "stage", "table", "whole_row"]
+__all__ = [
+    "attach", "bitmaps_of", "documents", "held_out", "keep_marked", "keep_rows", "maybe_among", "partitions", "stage", "table", "tested", "whole_row"
+]
 
 # A key with at least one row in HEAVY_SHARE is heavy; there are at most HEAVY_SHARE such keys.
 HEAVY_SHARE = 2000
+# Bits for each key of ``maybe_among``, and at most: 8 MB to broadcast. One key in 16 or fewer is a false hit up to 4 million keys.
+KEY_BITS, MOST_BITS = 16, 1 << 26
+_MAP_BITS = 32_768  # of one bitmap, as bitmap_construct_agg makes it
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +56,33 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, columns: Sequence[str])
     return settled.unionByName(rest.join(cold, key, "left").select(*settled.columns))
 
 
+def bitmaps_of(keys: DataFrame, key: Column, bits: int) -> DataFrame:
+    """Bits at the hashes ``key`` of all rows, staged: at most ``bits`` / ``_MAP_BITS`` rows, however many keys there are."""
+    bit = F.pmod(key, F.lit(bits))
+    maps = keys.groupBy((bit / _MAP_BITS).cast("int").alias("_map")).agg(F.bitmap_construct_agg((bit % _MAP_BITS).cast("long")).alias("_bitmap"))
+    return stage(maps, "bitmaps")
+
+
+def tested(rows: DataFrame, key: Column, bitmaps: DataFrame, bits: int) -> DataFrame:
+    """``rows`` with ``_maybe``: false only if the hash ``key`` is not among those of ``bitmaps_of``. Nothing is shuffled."""
+    bit = F.pmod(key, F.lit(bits))
+    placed = rows.select("*", (bit / _MAP_BITS).cast("int").alias("_map"), (bit % _MAP_BITS).cast("int").alias("_at"))
+    byte = F.conv(F.hex(F.expr("substring(_bitmap, int(_at div 8) + 1, 1)")), 16, 10).cast("int")
+    found = placed.join(F.broadcast(bitmaps), "_map", "left").withColumn("_byte", byte)
+    maybe = F.coalesce(F.expr("shiftright(_byte, _at % 8)").bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    return found.select(*rows.columns, maybe.alias("_maybe"))
+
+
+def maybe_among(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """``rows`` with ``_maybe``: false only if ``column`` is not in ``keys``, a staged table of one column of its type.
+
+    Rows that need no join with ``keys`` are told apart before it, so that their texts are not shuffled.
+    False hits cost a shuffle and change nothing.
+    """
+    bits = min(MOST_BITS, max(_MAP_BITS, 1 << (KEY_BITS * keys.count()).bit_length()))
+    return tested(rows, F.xxhash64(column), bitmaps_of(keys, F.xxhash64(keys.columns[0]), bits), bits)
+
+
 def whole_row(docs: DataFrame) -> Column:
     """All columns of a row in one, so that names of other columns cannot clash with theirs."""
     return F.struct(*(F.col(f"`{c}`") for c in docs.columns))
@@ -69,13 +101,16 @@ def keep_marked(rows: DataFrame, decided: DataFrame) -> DataFrame:
     of its ``doc_id`` (NULL is equal to NULL) and ``mark``; rows without any, or without a mark, stay.
     """
     sides = [F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")]
-    dropped = decided.where(~F.col("kept")).select(*sides).distinct()
-    again = decided.where("kept").groupBy(*sides).count().where("count > 1").drop("count")
+    dropped = stage(decided.where(~F.col("kept")).select(*sides).distinct(), "dropped")
+    again = stage(decided.where("kept").groupBy(*sides).count().where("count > 1").drop("count"), "again")
+    told = maybe_among(rows, "own", dropped.unionByName(again).select("_mark"))
+    # Most rows have a mark of which nothing was decided but that it stays: only others, whole, meet the decisions.
+    settled = told.where(~F.col("_maybe")).select("row.*")
     same = F.col("key").eqNullSafe(F.col("_id")) & (F.col("own") == F.col("_mark"))
-    left = rows.join(dropped, same, "left_anti")
+    left = told.where("_maybe").select("row", "key", "own").join(dropped, same, "left_anti")
     if again.isEmpty():
-        return left.select("row.*")
+        return settled.unionByName(left.select("row.*"))
     text = F.coalesce(F.col("row.text"), F.lit(""))
     order = Window.partitionBy("key", "own").orderBy(F.length(text).desc(), text)
     one = left.join(again, same, "left_semi").withColumn("_place", F.row_number().over(order)).where("_place = 1")
-    return left.join(again, same, "left_anti").select("row.*").unionByName(one.select("row.*"))
+    return settled.unionByName(left.join(again, same, "left_anti").select("row.*")).unionByName(one.select("row.*"))

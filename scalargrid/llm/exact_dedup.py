@@ -26,11 +26,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scalargrid.llm.common import attach, documents, keep_marked, stage, whole_row
+from scalargrid.llm.common import attach, bitmaps_of, documents, keep_marked, stage, tested, whole_row
 
 PREFIX_CHARS = 128
 FILTER_BITS = 1 << 23
-_MAP_BITS = 32_768  # of one bitmap, as bitmap_construct_agg makes it
 
 
 def without_space(text: Column) -> Column:
@@ -63,33 +62,22 @@ def _undecided(docs: DataFrame) -> DataFrame:
     return counted.join(lengths, "n_plain").where("n > 1").select("n_plain", "prefix")
 
 
-def _filter(undecided: DataFrame) -> DataFrame:
-    bit = F.pmod(_key(), F.lit(FILTER_BITS))
-    return undecided.groupBy(F.expr(f"bigint({FILTER_BITS})").alias("_bits"), (bit / _MAP_BITS).cast("int").alias("_map")).agg(
-        F.bitmap_construct_agg((bit % _MAP_BITS).cast("long")).alias("_bitmap")
-    ).select("_map", "_bitmap")
-
-
 def undecided_map(docs: DataFrame) -> DataFrame:
-    """Bitmaps of the texts that need round 3: at most ``FILTER_BITS`` / ``_MAP_BITS`` rows, staged."""
-    return stage(_filter(_undecided(docs)), "bitmaps")
+    """Bitmaps of the texts that need round 3, of ``FILTER_BITS`` bits together."""
+    return bitmaps_of(_undecided(docs), _key(), FILTER_BITS)
 
 
 def _with_full(signed: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``signed`` with ``full``, the SHA-256 of a text that the bitmaps hold, and NULL of any other."""
-    bit = F.pmod(_key(), F.lit(FILTER_BITS))
-    rows = signed.select("*", (bit / _MAP_BITS).cast("int").alias("_map"), (bit % _MAP_BITS).cast("int").alias("_at"))
-    byte = F.conv(F.hex(F.expr("substring(_bitmap, int(_at div 8) + 1, 1)")), 16, 10).cast("int")
-    maybe = F.coalesce(F.expr("shiftright(_byte, _at % 8)").bitwiseAND(F.lit(1)) == 1, F.lit(False))
-    tested = rows.join(F.broadcast(bitmaps), "_map", "left").withColumn("_byte", byte)
-    return tested.withColumn("full", F.when(maybe, F.sha2(F.col("plain").cast("binary"), 256)))
+    full = F.when(F.col("_maybe"), F.sha2(F.col("plain").cast("binary"), 256))
+    return tested(signed, _key(), bitmaps, FILTER_BITS).withColumn("full", full)
 
 
 def hashed(docs: DataFrame, all_digests: bool = False, bitmaps: DataFrame | None = None) -> DataFrame:
     """``doc_id, n_original, full`` and, if asked for, ``digest`` of every text; ``full`` is NULL where settled."""
-    tested = _with_full(_signed(docs), undecided_map(docs) if bitmaps is None else bitmaps)
+    rows = _with_full(_signed(docs), undecided_map(docs) if bitmaps is None else bitmaps)
     digest = [F.sha2(F.col("plain").cast("binary"), 256).alias("digest")] if all_digests else []
-    return stage(tested.select("doc_id", "n_original", "full", *digest), "hashes")
+    return stage(rows.select("doc_id", "n_original", "full", *digest), "hashes")
 
 
 def exact_groups(docs: DataFrame, all_digests: bool = False, bitmaps: DataFrame | None = None) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scalargrid.llm.common import attach, keep_rows, partitions, stage
+from scalargrid.llm.common import attach, keep_rows, maybe_among, partitions, stage
 from scalargrid.llm.components import components
 from scalargrid.llm.golay import LENGTH, nearest
 from scalargrid.llm.simhash import text_mark
@@ -295,8 +295,9 @@ def near_groups(docs: DataFrame, area_nodes: int = AREA_NODES) -> DataFrame:
     )
     wanted = stage(placed.join(stage(sizes, "near-sizes"), "root").select("node", "root", "parts", F.col("mark").alias("own_mark")), "near-wanted")
     texts = docs.select(text_mark(), F.col("text").cast("string").alias("text"))
-    # Equal texts have one mark: one of each is compared.
-    needed = texts.join(wanted.select(F.col("own_mark").alias("mark")), "mark", "left_semi").groupBy("mark").agg(F.first("text").alias("text"))
+    # Equal texts have one mark: one of each is compared. They combine before the shuffle; no other text is shuffled.
+    held = maybe_among(texts, "mark", wanted.select("own_mark")).where("_maybe")
+    needed = held.groupBy("mark").agg(F.first("text").alias("text"))
     compared = _meet(wanted.join(needed, wanted.own_mark == needed.mark), "root", ["node", "text"])
     links = compared.repartition(n, "group").sortWithinPartitions("group").mapInArrow(_runs(_find_sets), "a long, b long")
     roots = components(links)
