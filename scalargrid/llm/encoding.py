@@ -94,3 +94,7 @@ def encoder(path: str, spaced: bool, keep: int = KEEP_CHUNKS) -> ChunkEncoder:
     """One encoder per Python worker and vocabulary."""
     return ChunkEncoder(path, spaced, keep)
 
+
+def forget() -> None:
+    """Give back what this Python worker remembers; workers outlive a stage, and the next one may need the memory."""
+    encoder.cache_clear()

@@ -14,7 +14,7 @@ tasks. What a word tells is counted on one half of them for windows of the other
 document explains itself. One row in ``CALIBRATED`` is kept for the calibration. One task then trains the network on windows of at most ``WINDOWS_EACH`` per
 document and sends its weights to the driver; the driver holds no texts, windows or counts, only
 these weights and the compressed evidence (``BUCKETS`` numbers). Scoring covers every text, all of
-it, and every window, with memory bounded by ``_CHUNK_WORDS``.
+it, and every window, with memory bounded by ``_CHUNK_WORDS``. Workers first give back token ids that an earlier stage remembers.
 
 Defined results: NULL texts and texts without words have one window of empty words and a score
 like any other; labels that are NULL are left out, several labels of one document count as toxic
@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scalargrid.llm.common import documents, held_out, stage, table
+from scalargrid.llm.encoding import forget
 from scalargrid.llm.gru import Gru
 from scalargrid.llm.word_inputs import LETTERS, SIZE, WordInputs, codes_of, mixed
 
@@ -217,6 +218,7 @@ def _evidence(rows: DataFrame) -> list[bytes]:
     """Packed evidence for documents of half 0 and of half 1, each from the other half, and from both; nothing without both kinds."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         counts = np.zeros((4, BUCKETS), np.int32)
         seen = np.zeros(4, np.int64)
         for batch in batches:
@@ -257,6 +259,7 @@ def _training_windows(rows: DataFrame, told: list[bytes]) -> DataFrame:
     """Staged windows: the most telling one of a toxic document, the two most telling and one more of others."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         by_half = [unpacked(t) for t in told]
         for batch in batches:
             out = []
@@ -281,6 +284,7 @@ def _trained(windows: DataFrame) -> tuple[dict[str, np.ndarray], dict[str, np.nd
     """Weights of the network and of the learned inputs, trained in one task on all windows (their number is bounded)."""
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         rows = [r for batch in batches for r in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True)]
         if not rows:
             return
@@ -307,6 +311,7 @@ def _calibrated(rows: DataFrame, told: list[bytes], weights: dict[str, np.ndarra
     """Slope and shift from documents' highest logits to probabilities, by Newton steps, at the true share of toxic rows."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         scorers = [Model(t, weights, learned).scorer() for t in told]
         for batch in batches:
             half, texts = np.array(batch.column(2).to_pylist(), dtype=int), batch.column(0).to_pylist()
@@ -352,6 +357,7 @@ def scored(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
     kinds = docs.select(*columns).schema
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         score = model.scorer() if model.weights else None
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
