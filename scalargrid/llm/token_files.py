@@ -19,6 +19,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ from scalargrid.llm.wavelet import WaveletMatrix
 from scalargrid.runtime import shared_dir
 
 END_ID = 1
+# UTF-8 bytes of texts encoded at once; their chunks, numbers and ids take about ten times as much.
+SLICE_BYTES = 16 << 20
 _FILE = (
     "shard int, block int, shard_start long, n long, zeros array<long>, planes binary, "
     "ranks binary, doc_ids array<long>, lengths array<long>"
@@ -40,31 +43,47 @@ _ARROW = pa.schema([
 ])
 
 
-def _blocks(path: str, end_id: int, block_tokens: int):
-    end = np.array([end_id], dtype="<u4").tobytes()
+def _slices(texts: pa.Array) -> Iterator[slice]:
+    """Runs of texts of about ``SLICE_BYTES`` at most; a longer text is one alone."""
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(), dtype=np.int64)
+    start = done = 0
+    while start < len(ends):
+        stop = max(start + 1, int(np.searchsorted(ends, done + SLICE_BYTES, side="right")))
+        yield slice(start, stop)
+        start, done = stop, int(ends[stop - 1])
+
 
+def _blocks(path: str, end_id: int, block_tokens: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
         block = start = size = 0
-        ids: list[bytes] = []
+        ids: list[np.ndarray] = []
         docs: list[int | None] = []
-        encode = encoder(path, False).encode
+        lengths: list[int] = []
+        encode = encoder(path, False).encode_all
 
         def row() -> pa.RecordBatch:
-            matrix = WaveletMatrix.build(np.frombuffer(b"".join(ids), dtype="<u4"))
-            return pa.RecordBatch.from_pylist([matrix.to_row() | {
-                "shard": shard, "block": block, "shard_start": start, "doc_ids": docs,
-                "lengths": [len(x) // 4 for x in ids],
+            return pa.RecordBatch.from_pylist([WaveletMatrix.build(np.concatenate(ids)).to_row() | {
+                "shard": shard, "block": block, "shard_start": start, "doc_ids": docs, "lengths": lengths,
             }], schema=_ARROW)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids.append(encode(text.as_py() or "") + end)
-                docs.append(doc_id)
-                size += len(ids[-1]) // 4
-                if size >= block_tokens:
-                    yield row()
-                    block, start, size, ids, docs = block + 1, start + size, 0, [], []
+            for part in _slices(batch.column(1)):
+                more, counts = encode(batch.column(1)[part], end_id)
+                reach, names = np.cumsum(counts), batch.column(0)[part].to_pylist()
+                first = taken = 0
+                while first < len(names):
+                    # Up to the first document that takes the block to block_tokens, or all.
+                    last = min(int(np.searchsorted(reach, taken + block_tokens - size)) + 1, len(names))
+                    upto = int(reach[last - 1])
+                    ids.append(more[taken:upto])
+                    docs += names[first:last]
+                    lengths += counts[first:last].tolist()
+                    size += upto - taken
+                    first, taken = last, upto
+                    if size >= block_tokens:
+                        yield row()
+                        block, start, size, ids, docs, lengths = block + 1, start + size, 0, [], [], []
         if ids:
             yield row()
 
