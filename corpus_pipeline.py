@@ -12,8 +12,9 @@ from scalargrid.llm.common import documents, table
 from scalargrid.runtime import shared_dir
 
 
-# Chunks of text that a Python worker remembers while it tokenises; workers have served other stages before.
-KEEP_CHUNKS = 500_000
+# Chunks of text that a Python worker remembers while it tokenises, some 40 MB with their pieces; the heap of an
+# executor has grown to its limit in the stages before, and workers hold memory of them too.
+KEEP_CHUNKS = 150_000
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,6 +24,8 @@ import pyarrow.compute as pc
 
 # Chunks remembered per Python worker, about 200 bytes each, with half as many pieces.
 KEEP_CHUNKS = 900_000
+# Longer ones, as in texts without white space, hardly repeat and are not remembered.
+LONGEST = 64
 
 # Unicode White_Space, as the tokenizers' own patterns understand \s.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -115,6 +117,8 @@ class ChunkEncoder(dict):
             ids = self._by_model(chunk) if pieces == [chunk] else b"".join(map(self.__getitem__, pieces))
         else:
             ids = self._by_library(chunk)
+        if len(chunk) > LONGEST:
+            return ids
         if len(self) >= self._keep:
             _halve(self)
         self[chunk] = ids
@@ -173,6 +177,12 @@ def encoder(path: str, spaced: bool, keep: int = KEEP_CHUNKS) -> ChunkEncoder:
     return ChunkEncoder(path, spaced, keep)
 
 
+def give_back() -> None:
+    """Give back memory of Arrow batches that are gone; Arrow would keep it, in a worker that outlives the stage."""
+    pa.default_memory_pool().release_unused()
+
+
 def forget() -> None:
     """Give back what this Python worker remembers; workers outlive a stage, and the next one may need the memory."""
     encoder.cache_clear()
+    give_back()

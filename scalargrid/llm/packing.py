@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scalargrid.llm.common import documents, stage
-from scalargrid.llm.encoding import KEEP_CHUNKS, encoder
+from scalargrid.llm.encoding import KEEP_CHUNKS, encoder, give_back
 
 MAX_TOKENS = 2048
 MAX_DOCUMENTS = 2048
@@ -48,6 +48,7 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary, True, keep).encode
         for batch in batches:
+            give_back()
             out: list[tuple] = []
             for doc, copy, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 raw = memoryview(encode(text.as_py() or "") + end)
