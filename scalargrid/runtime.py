@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +50,54 @@ def stage(
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def stage_parts(
+    parts: Iterable[DataFrame], name: str, folder: str | None = None, tasks: int | None = None
+) -> DataFrame | None:
+    """Write frames of one schema as one table, each before the next is made, and read it back.
+
+    None if there is none. ``tasks`` bounds the files that each adds to the table.
+    """
+    table = None
+    for df in parts:
+        spark, schema = df.sparkSession, df.schema
+        table = table or f"{(folder or shared_dir(spark)).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        (df.coalesce(tasks) if tasks else df).write.mode("append").parquet(table)
+        # It may hold an index of files, gone before the next is made: py4j's proxies refer to themselves, and
+        # the JVM keeps what they stand for until Python collects cycles.
+        del df
+        gc.collect()
+    return None if table is None else spark.read.schema(schema).parquet(table).select(*schema.names)
+
+
+def one_or_staged(
+    parts: Iterator[DataFrame], name: str, folder: str | None = None, tasks: int | None = None
+) -> DataFrame | None:
+    """The only frame as it is, or several staged as one table; None if there is none."""
+    first = [*islice(parts, 2)]
+    if len(first) < 2:
+        return first[0] if first else None
+
+    def every() -> Iterator[DataFrame]:
+        while first:
+            yield first.pop(0)
+        yield from parts
+
+    return stage_parts(every(), name, folder, tasks)
+
+
+@contextmanager
+def held(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Settings of the session while a block runs; what they were comes back."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """``df`` itself if it only filters a stored table, else staged: what is used several times is computed once."""
     plan = df._jdf.queryExecution().optimizedPlan()

@@ -1,0 +1,105 @@
+"""Trees of more folders than one index of files takes: listed and read in parts, the driver's share bounded."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import DataFrameReader
+
+from cohort import write
+from scalargrid.sources import files
+
+FORMATS = ("binaryFile", "text")
+
+
+@pytest.fixture
+def study(tmp_path):
+    """40 subjects of 3 files each per tree, one file in four without a byte; odd names among the folders."""
+    names = [f"sub-{i:02}" for i in range(36)] + ["sub-a b", "sub-{c}", "sub-[d]", "sub-e%+"]
+    for i, name in enumerate(names):
+        for j in range(3):
+            inside = tmp_path / "recon" / "qsirecon-W" / name / f"ses-{j}" / "dwi"
+            write(inside / "t_bundle_means.tsv", "" if (i + j) % 4 == 0 else f"bundle_name\tmean_fa\nArc\t{i}.5\n")
+            write(tmp_path / "prep" / name / f"ses-{j}" / "dwi" / "x_confounds.tsv", "framewise_displacement\n0.7\n")
+    write(tmp_path / "prep" / "dataset_description.json", '{"GeneratedBy": [{"Version": "1"}]}')
+    return tmp_path
+
+
+@pytest.fixture
+def indexes(monkeypatch):
+    """Files in the index of each scan of a tree; an index may take some 20, of 5 folders at first."""
+    monkeypatch.setattr(files, "INDEX_FILES", 20, raising=False)
+    monkeypatch.setattr(files, "FIRST_FOLDERS", 5, raising=False)
+    sizes, load, kinds = [], DataFrameReader.load, {}
+
+    def kept(reader, kind):
+        kinds[id(reader)] = kind
+        return fmt(reader, kind)
+
+    def counted(reader, *args, **options):
+        frame = load(reader, *args, **options)
+        if kinds.get(id(reader)) in FORMATS:
+            sizes.append(len(frame.inputFiles()))
+        return frame
+
+    fmt = DataFrameReader.format
+    monkeypatch.setattr(DataFrameReader, "format", kept)
+    monkeypatch.setattr(DataFrameReader, "load", counted)
+    return sizes
+
+
+def globs(study):
+    return [*files.preproc_globs(str(study / "prep")), f"{study}/recon/qsirecon-*/sub-*"]
+
+
+def listed(spark, study, regex=None):
+    rows = files.list_files(spark, globs(study), regex).collect()
+    return sorted((r["path"].rpartition(f"{study.name}/")[2], r["file_size"]) for r in rows)
+
+
+def on_disk(study, end=""):
+    found = (p for p in study.rglob(f"*{end}") if p.is_file())
+    return sorted((str(p.relative_to(study)), p.stat().st_size) for p in found)
+
+
+def test_no_index_holds_the_whole_tree(spark, study, indexes):
+    assert listed(spark, study) == on_disk(study) and len(on_disk(study)) == 241
+    assert sum(indexes) == 241 and max(indexes) <= 25, indexes
+    indexes.clear()
+    assert listed(spark, study, r"_means\.tsv$") == on_disk(study, "_means.tsv") and max(indexes) <= 25
+
+
+def test_documents_of_all_parts(spark, study, indexes):
+    read = files.read_documents(spark, globs(study), r"\.tsv$")
+    got = {r["path"].rpartition(f"{study.name}/")[2]: r["content"] for r in read.collect()}
+    assert got == {name: (study / name).read_text() for name, size in on_disk(study, ".tsv") if size} and read.count() == len(got)
+    assert sum(indexes) == 241 and max(indexes) <= 25, indexes
+
+
+def test_a_folder_inside_of_another_is_listed_once(spark, study, indexes):
+    tops = [str(study / "prep"), *globs(study), str(study / "prep" / "sub-0[0-9]")]
+    rows = [r["path"] for r in files.list_files(spark, tops).collect()]
+    assert len(rows) == len(set(rows)) == 241
+
+
+def test_a_folder_that_goes_between_parts_has_no_rows(spark, study, indexes, monkeypatch):
+    load = files._load
+
+    def gone(spark, fmt, folders, **options):
+        if any(folder.endswith("prep/sub-07") for folder in folders):
+            (study / "prep" / "sub-07").rename(study / "elsewhere")
+        return load(spark, fmt, folders, **options)
+
+    monkeypatch.setattr(files, "_load", gone)
+    names = [name for name, _ in listed(spark, study)]
+    assert len(names) == 238 and not any("prep/sub-07/" in name for name in names)
+
+
+def test_settings_of_the_session_come_back(spark, study, indexes):
+    key, other = "spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.hive.filesourcePartitionFileCacheSize"
+    before = spark.conf.get(other)
+    spark.conf.set(key, "77")
+    try:
+        files.list_files(spark, globs(study))
+        assert spark.conf.get(key) == "77" and spark.conf.get(other) == before
+    finally:
+        spark.conf.unset(key)
