@@ -1079,7 +1079,7 @@ def tree_inventory(spark, sf_dir):
            CASE s % 2 WHEN 0 THEN 'a' ELSE 'b' END AS site FROM files JOIN visits USING (s, y)""")
 def tree_group_table(spark, sf_dir):
     """The group-level table read from its file, ids and metrics as text."""
-    folder = trees.write_tree(spark, sf_dir)
+    folder = trees.write_tree(spark, sf_dir, subjects=False)
     found = stage(src.read_group_table(spark, f"{folder}/group"), "group")
     remove_dir(spark, folder)
     return found.drop(src.ROW_ORDER)

@@ -69,10 +69,15 @@ def tree_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundles.unionByName(motion).unionByName(ages).unionByName(models).unionByName(described)
 
 
-def write_tree(spark: SparkSession, sf_dir: str) -> str:
-    """A new study folder below the shared one, with a group table of one row per supplier and year."""
+def write_tree(spark: SparkSession, sf_dir: str, subjects: bool = True) -> str:
+    """A new study folder below the shared one, with a group table of one row per supplier and year.
+
+    Without ``subjects`` it has only that table: a job on it alone opens no other file, and each of these
+    takes a block and two or three folders of the disk, however few bytes it has.
+    """
     folder = f"{shared_dir(spark).rstrip('/')}/study-{uuid.uuid4().hex}"
-    write_files(tree_files(spark, sf_dir), folder)
+    if subjects:
+        write_files(tree_files(spark, sf_dir), folder)
     inputs.table(spark, sf_dir, "lineitem").selectExpr("l_suppkey as s", "year(l_shipdate) as y", "l_quantity as q").groupBy("s", "y").agg(
         F.sum("q").cast("long").alias("volume")
     ).selectExpr(
