@@ -114,7 +114,7 @@ def build(
     trees = {"preproc": (preproc_dir, preproc_globs), "recon": (recon_dir, recon_globs)}
     listed = [
         inv.with_entities(
-            src.list_files(spark, globs).withColumn("tree", F.lit(name)), src.plain_root(spark, root)
+            src.list_files(spark, globs, folder=work_dir).withColumn("tree", F.lit(name)), src.plain_root(spark, root)
         )
         for name, (root, globs) in trees.items()
     ]
@@ -249,7 +249,7 @@ def _texts(
 ) -> dict[str, DataFrame]:
     """Staged ``(path, content)`` per tree of what any step may want, also of files that cannot be read.
 
-    One scan per tree: file by file they would be listed again. Bundle tables that were not chosen are left
+    One pass over each tree: file by file they would be listed again. Bundle tables that were not chosen are left
     out where their paths can be broadcast; beyond that they are copied too, so that no text is shuffled here.
     """
     wanted = {
@@ -264,11 +264,11 @@ def _texts(
     texts = {}
     for name, (_, globs) in trees.items():
         regex = _any_name([*wanted[name], f"^{re.escape(DATASET_DESCRIPTION)}$"])
-        read = src.read_documents(spark, globs, regex)
         listed = found.where((F.col("tree") == name) & F.col("file_name").rlike(regex)).select("path", "file_size")
-        if name == "recon" and skip:
-            read, listed = (frame.join(passed_over, "path", "left_anti") for frame in (read, listed))
-        read = stage(read, f"{name}_texts", work_dir)
+        without = passed_over if name == "recon" and skip else None
+        if without is not None:
+            listed = listed.join(without, "path", "left_anti")
+        read = src.read_documents(spark, globs, regex, without, f"{name}_texts", work_dir)
         texts[name] = read.unionByName(stage(src.unread(read, listed), f"{name}_unread", work_dir))
     return texts
 

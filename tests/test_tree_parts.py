@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import DataFrameReader
 
 from cohort import write
+from scalargrid import build
 from scalargrid.sources import files
 
 FORMATS = ("binaryFile", "text")
@@ -103,3 +104,14 @@ def test_settings_of_the_session_come_back(spark, study, indexes):
         assert spark.conf.get(key) == "77" and spark.conf.get(other) == before
     finally:
         spark.conf.unset(key)
+
+
+def test_the_job_gives_the_same_in_parts(spark, study, indexes):
+    def outputs(work):
+        done = build(spark, str(study / "prep"), str(study / "recon"), work_dir=str(study / work))
+        return [sorted(map(str, frame.collect())) for frame in (done.table, done.run_log, done.flag_counts)]
+
+    found = outputs("work1")
+    assert sum(indexes) == 2 * 241 and max(indexes) <= 25, indexes
+    files.INDEX_FILES, files.FIRST_FOLDERS = 10_000, 10_000
+    assert outputs("work2") == found and all(found)
