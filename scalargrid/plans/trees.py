@@ -81,6 +81,8 @@ def write_tree(spark: SparkSession, sf_dir: str, subjects: bool = True) -> str:
     inputs.table(spark, sf_dir, "lineitem").selectExpr("l_suppkey as s", "year(l_shipdate) as y", "l_quantity as q").groupBy("s", "y").agg(
         F.sum("q").cast("long").alias("volume")
     ).selectExpr(
-        "concat('sub-', s) as subject_id", "concat('ses-', y) as session_id", "volume", "if(s % 2 = 0, 'a', 'b') as site"
+        # As for the files, whose paths have both.
+        "coalesce(concat('sub-', s), raise_error('a row without a supplier')) as subject_id",
+        "coalesce(concat('ses-', y), raise_error('a row without a year')) as session_id", "volume", "if(s % 2 = 0, 'a', 'b') as site"
     ).write.option("sep", "\t").option("header", True).csv(f"{folder}/group/{GROUP_TABLE}")
     return folder
